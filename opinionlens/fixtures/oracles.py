@@ -86,8 +86,10 @@ def _repair(c: str) -> str:
     out = f"translate({out}, {text_literal(tx.REPAIR_FROM)}, {text_literal(tx.REPAIR_TO)})"
     for old, new in tx.LIGATURES.items():
         out = f"replace({out}, {text_literal(old)}, {text_literal(new)})"
-    out = f"regexp_replace({out}, '{tx.LINE_BREAK_PATTERN}', chr(10), 'g')"
-    return f"regexp_replace({out}, '{tx.CONTROL_PATTERN}', '', 'g')"
+    for line_break in ("chr(13) || chr(10)", "chr(13)", "chr(8232)", "chr(8233)"):
+        out = f"replace({out}, {line_break}, chr(10))"
+    controls = tx.CONTROL_PATTERN[tx.CONTROL_PATTERN.index(")") + 1 :]
+    return f"regexp_replace({out}, '{controls}', '', 'g')"
 
 
 def _clean_text(c: str) -> str:

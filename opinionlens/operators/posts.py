@@ -46,7 +46,9 @@ def clean_posts(
         cleaned["description"] = tx.clean_description("description")
     posts = posts.withColumns(cleaned)
     if drop_blank:
-        posts = posts.filter(F.col("text") != "")
+        # A filter on the cleaned text would be pushed below these steps and so make
+        # every row go through them twice; a generator stays where it is.
+        posts = posts.withColumn("text", F.explode(F.array_remove(F.array("text"), "")))
     return posts.select(*order)
 
 

@@ -31,28 +31,22 @@ def temporal_evolution(posts: DataFrame) -> DataFrame:
 
 
 def _user_places(posts: DataFrame) -> DataFrame:
+    """Posts per user and place: small enough to count users and places from."""
     return posts.groupBy("state", "city", "user_id").agg(F.count("*").alias("n"))
 
 
-def _user_totals(groups: DataFrame) -> list:
-    known = F.col("user_id").isNotNull()
-    return [
-        F.sum("n").alias("tweet_count"),
-        F.coalesce(F.sum(F.when(known, F.col("places"))), F.lit(0)).alias("unique_users_by_city_sum"),
-        F.count("user_id").alias("unique_users"),
-    ]
-
-
 def overview_kpis(posts: DataFrame) -> DataFrame:
     """Posts, users and cities in one row.
 
     ``unique_users_by_city_sum`` adds up the users of each city, so a user seen in
     two cities counts twice; ``unique_users`` counts each user once.
     """
-    places = _user_places(posts)
-    users = places.groupBy("user_id").agg(F.sum("n").alias("n"), F.count("*").alias("places"))
-    cities = places.select("state", "city").distinct().agg(F.count("*"))
-    return users.agg(*_user_totals(users)).withColumn("active_cities", cities.scalar())
+    return _user_places(posts).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("tweet_count"),
+        F.count("user_id").alias("unique_users_by_city_sum"),
+        F.count_distinct("user_id").alias("unique_users"),
+        F.count_distinct("state", "city").alias("active_cities"),
+    )
 
 
 def state_volume(posts: DataFrame) -> DataFrame:
@@ -60,6 +54,10 @@ def state_volume(posts: DataFrame) -> DataFrame:
     users = (
         _user_places(posts)
         .groupBy("state", "user_id")
-        .agg(F.sum("n").alias("n"), F.count("*").alias("places"))
+        .agg(F.sum("n").alias("n"), F.count("user_id").alias("places"))
+    )
+    return users.groupBy("state").agg(
+        F.sum("n").alias("tweet_count"),
+        F.sum("places").alias("unique_users_by_city_sum"),
+        F.count("user_id").alias("unique_users"),
     )
-    return users.groupBy("state").agg(*_user_totals(users))

@@ -59,9 +59,10 @@ def word_cooccurrence(
     top = frequent_words(posts, top_n_words, stops).agg(F.sort_array(F.collect_list("word")))
     # Intersecting in the order of the sorted list leaves the result sorted and distinct.
     present = posts.select(F.array_intersect(top.scalar(), _words(posts)).alias("present"))
-    present = present.filter(F.size("present") > 1)
-    firsts = present.select("present", F.posexplode("present").alias("pos", "word_a"))
-    rest = F.slice("present", F.col("pos") + 2, F.size("present"))
+    size = F.size("present")
+    leading = F.slice("present", 1, F.greatest(size - 1, F.lit(0)))
+    firsts = present.select("present", F.posexplode(leading).alias("pos", "word_a"))
+    rest = F.slice("present", F.col("pos") + 2, size)
     return (
         firsts.select("word_a", F.explode(rest).alias("word_b"))
         .groupBy("word_a", "word_b")
@@ -106,7 +107,7 @@ def tfidf_terms(
     exchange by word yields both counts.
     """
     total = posts.agg(F.count("*"))
-    ordered = posts.select(F.array_sort(_words(posts)).alias("words"))
+    ordered = posts.select(F.sort_array(_words(posts)).alias("words"))
     flagged = F.transform(
         "words",
         lambda word, i: F.struct(word.alias("word"), (~F.equal_null(word, F.get("words", i - 1))).alias("first")),
