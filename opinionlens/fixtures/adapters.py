@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opinionlens.session import spread
+
 POSTS = """
 select d.doc_id as post_id, cast(d.doc_id % 50 as string) as user_id,
        concat('user_', cast(d.doc_id % 50 as string)) as username,
@@ -112,12 +114,17 @@ TEXTS = {
 TABLES = ("documents", "labels")
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """An adapter, or one of the given tables, as a DataFrame."""
+def frame(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
+    """An adapter, or one of the given tables, as a DataFrame.
+
+    ``wide`` is for queries that spend their time on the text: it spreads documents
+    that come in fewer splits than there are cores.
+    """
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(table, "doc_id") if wide and name == "documents" else table
     text = TEXTS[name]
-    inputs = {x: frame(spark, sf_dir, x) for x in (*TABLES, "posts") if "{" + x + "}" in text}
+    inputs = {x: frame(spark, sf_dir, x, wide) for x in (*TABLES, "posts") if "{" + x + "}" in text}
     return spark.sql(text, **inputs)
 
 

@@ -34,6 +34,11 @@ def _posts(spark, sf):
     return frame(spark, sf, "posts")
 
 
+def _texts(spark, sf, adapter="posts"):
+    """An adapter for a query that spends its time on the text."""
+    return frame(spark, sf, adapter, wide=True)
+
+
 def _clean(spark, sf):
     """Posts after a round through the dirty form: null users, dates and places."""
     return post_ops.normalize_posts(frame(spark, sf, "posts_dirty"), keep=["post_id"])
@@ -48,7 +53,7 @@ def _temporal(spark, sf):
 
 
 def _comparison(spark, sf):
-    return subjects.keyword_comparison(_posts(spark, sf), KEYWORDS_A, KEYWORDS_B)
+    return subjects.keyword_comparison(_texts(spark, sf), KEYWORDS_A, KEYWORDS_B)
 
 
 def _cities(spark, sf):
@@ -64,7 +69,7 @@ def _predictions(spark, sf):
 
 def _on_text(adapter: str, function, source: str = "text", target: str = "text") -> Query:
     def query(spark, sf):
-        return frame(spark, sf, adapter).select("post_id", function(source).alias(target))
+        return _texts(spark, sf, adapter).select("post_id", function(source).alias(target))
 
     return query
 
@@ -75,7 +80,7 @@ def _state_from_source(spark, sf):
 
 
 def _clean_posts(spark, sf):
-    return post_ops.clean_posts(frame(spark, sf, "raw_posts"), file_name="file_name", states=FILE_KEYS)
+    return post_ops.clean_posts(_texts(spark, sf, "raw_posts"), file_name="file_name", states=FILE_KEYS)
 
 
 def _parse_tags(spark, sf):
@@ -83,11 +88,11 @@ def _parse_tags(spark, sf):
 
 
 def _tokens(spark, sf):
-    return _posts(spark, sf).select("post_id", F.array_join(tk.tokens("text"), " ").alias("words"))
+    return _texts(spark, sf).select("post_id", F.array_join(tk.tokens("text"), " ").alias("words"))
 
 
 def _keyword_flags(spark, sf):
-    return subjects.keyword_flags(_posts(spark, sf), KEYWORDS_A, KEYWORDS_B, keep=["post_id"])
+    return subjects.keyword_flags(_texts(spark, sf), KEYWORDS_A, KEYWORDS_B, keep=["post_id"])
 
 
 # --- labels -------------------------------------------------------------------
@@ -106,12 +111,12 @@ LABEL_COLUMNS = ["post_id", "binary_label", "label_status"]
 
 
 def _rule_label(spark, sf):
-    posts = frame(spark, sf, "stance_posts")
+    posts = _texts(spark, sf, "stance_posts")
     return posts.select("post_id", labeling.rule_label("text", "hashtags").alias("rule_label"))
 
 
 def _build_prompt(spark, sf):
-    posts = frame(spark, sf, "stance_posts").withColumn(
+    posts = _texts(spark, sf, "stance_posts").withColumn(
         "hashtags", F.when(F.col("post_id") % 3 == 0, "").otherwise(F.col("hashtags"))
     )
     return posts.select("post_id", labeling.build_prompt("text", "hashtags").alias("prompt"))
@@ -122,17 +127,17 @@ def _parse_answer(spark, sf):
 
 
 def _label_posts(spark, sf):
-    return labeling.label_posts(frame(spark, sf, "stance_posts")).select(*LABEL_COLUMNS)
+    return labeling.label_posts(_texts(spark, sf, "stance_posts")).select(*LABEL_COLUMNS)
 
 
 def _model_label(spark, sf):
-    return labeling.label_posts(frame(spark, sf, "stance_posts"), _stand_in_model()).select(*LABEL_COLUMNS)
+    return labeling.label_posts(_texts(spark, sf, "stance_posts"), _stand_in_model()).select(*LABEL_COLUMNS)
 
 
 def _label_resume(spark, sf):
     """Two runs over a folder that grew in between; every post is labelled once."""
     root = shared_dir(spark)
-    posts = frame(spark, sf, "stance_posts")
+    posts = _texts(spark, sf, "stance_posts")
     for half in (0, 1):
         part = posts.filter(F.col("post_id") % 2 == half)
         part.write.mode("append").parquet(f"{root}/posts")
@@ -144,7 +149,7 @@ def _label_resume(spark, sf):
 
 
 def _still_to_label(spark, sf):
-    posts = frame(spark, sf, "stance_posts")
+    posts = _texts(spark, sf, "stance_posts")
     done = labeling.label_posts(posts).filter(F.col("post_id") % 3 > 0)
     return labeling.still_to_label(posts, done, "post_id").select("post_id")
 
@@ -185,13 +190,12 @@ def _stored_results(spark, sf):
 
 
 def _clustered(spark, sf):
-    found = models.topic_words(_posts(spark, sf), keep=["post_id", "binary_label"])
-    found = models.stable_layout(found, "post_id", 8)
-    return models.assign_topics(models.fit_topics(found), found)
+    posts = _texts(spark, sf)
+    return models.fit_topics(posts, keep=["post_id", "binary_label"], key="post_id").clustered
 
 
 def _stance(spark, sf):
-    return models.fit_stance(_posts(spark, sf), keys=["post_id"])
+    return models.fit_stance(_texts(spark, sf), keys=["post_id"])
 
 
 def _hash_split(spark, sf):
@@ -235,10 +239,10 @@ QUERIES: dict[str, Query] = {
     "top_hashtags": lambda s, d: tags.top_hashtags(_posts(s, d)),
     "distinctive_hashtags": lambda s, d: tags.distinctive_hashtags(_posts(s, d)),
     "tag_extremes": lambda s, d: tags.tag_extremes(tags.distinctive_hashtags(_posts(s, d))),
-    "frequent_words": lambda s, d: words.frequent_words(_posts(s, d)),
-    "word_cooccurrence": lambda s, d: words.word_cooccurrence(_posts(s, d)),
-    "group_top_terms": lambda s, d: words.group_top_terms(_posts(s, d), "state"),
-    "tfidf_terms": lambda s, d: words.tfidf_terms(_posts(s, d)).withColumn("idf", F.round("idf", 9)),
+    "frequent_words": lambda s, d: words.frequent_words(_texts(s, d)),
+    "word_cooccurrence": lambda s, d: words.word_cooccurrence(_texts(s, d)),
+    "group_top_terms": lambda s, d: words.group_top_terms(_texts(s, d), "state"),
+    "tfidf_terms": lambda s, d: words.tfidf_terms(_texts(s, d)).withColumn("idf", F.round("idf", 9)),
     # subjects
     "keyword_flags": _keyword_flags,
     "keyword_comparison": _comparison,

@@ -20,15 +20,7 @@ from opinionlens.functions import values as v
 from opinionlens.functions.text import column
 from opinionlens.operators.posts import labelled
 from opinionlens.operators.words import rank_terms, word_rows
-
-
-def stable_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
-    """The same rows in the same partitions whatever the input layout.
-
-    Seeds in Spark ML act per partition, so a repeatable fit needs this. It costs one
-    shuffle of the narrow frame it is given.
-    """
-    return df.repartition(partitions, key).sortWithinPartitions(key)
+from opinionlens.session import materialize
 
 
 # --- topic clusters -----------------------------------------------------------
@@ -42,34 +34,43 @@ def topic_words(
     return posts.select(*keep, tk.tokens(F.concat_ws(" ", "text", "hashtags"), stops).alias("words"))
 
 
+@dataclass(frozen=True)
+class TopicFit:
+    model: PipelineModel
+    clustered: DataFrame
+
+
 def fit_topics(
-    words: DataFrame,
+    posts: DataFrame,
     k: int = K.KMEANS_K,
     *,
+    keep: Sequence[str] = ("binary_label",),
+    key: str | None = None,
+    stops: Iterable[str] | None = None,
     vocab_size: int = K.VOCAB_SIZE,
     min_df: float = K.MIN_DF,
     max_df: float = K.MAX_DF,
     seed: int = K.SEED,
-) -> PipelineModel:
-    """Normalised TF-IDF vectors of the words, clustered by K-Means.
+) -> TopicFit:
+    """Cluster posts by K-Means on normalised TF-IDF vectors of their words.
 
-    The words are held for the passes over vocabulary, frequencies and vectors.
+    Returns the fitted stages and the posts (the ``keep`` columns and ``words``) with
+    their ``cluster``. Seeds act per partition, so only a fit with a ``key`` among the
+    kept columns is the same for every layout of the input.
     """
+    words = topic_words(posts, keep, stops).persist(StorageLevel.MEMORY_AND_DISK)
     stages = [
         CountVectorizer(inputCol="words", outputCol="tf", vocabSize=vocab_size, minDF=min_df, maxDF=max_df),
         IDF(inputCol="tf", outputCol="tfidf"),
         Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
-        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster"),
     ]
-    words = words.select("words").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=stages).fit(words)
+        vectors = Pipeline(stages=stages).fit(words)
+        table = materialize(vectors.transform(words).select(*keep, "words", "features"), key)
     finally:
         words.unpersist()
-
-
-def assign_topics(model: PipelineModel, words: DataFrame) -> DataFrame:
-    return model.transform(words).drop("tf", "tfidf", "features")
+    kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(table.select("features"))
+    return TopicFit(PipelineModel([*vectors.stages, kmeans]), kmeans.transform(table).drop("features"))
 
 
 def cluster_summary(clustered: DataFrame) -> DataFrame:
@@ -160,27 +161,26 @@ def fit_stance(
     """
     keys = list(keys or dict.fromkeys(["user_id", "date", *features]))
     chosen = labelled(posts).withColumn("in_train", in_train(keys))
-    words = stance_words(chosen, features, keep=["in_train"])
-    train = words.filter("in_train").drop("in_train")
-    test = words.filter("not in_train").drop("in_train")
+    words = stance_words(chosen, features, keep=["in_train"]).persist(StorageLevel.MEMORY_AND_DISK)
     stages = [
         HashingTF(inputCol="words", outputCol="tf", numFeatures=hash_size),
         IDF(inputCol="tf", outputCol="features"),
-        LinearSVC(
-            featuresCol="features",
-            labelCol="label",
-            maxIter=max_iter,
-            regParam=reg,
-            aggregationDepth=aggregation_depth,
-        ),
     ]
-    held = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = Pipeline(stages=stages).fit(held)
+        vectors = Pipeline(stages=stages).fit(words.filter("in_train"))
+        table = materialize(vectors.transform(words).select("in_train", "label", "features"))
     finally:
-        held.unpersist()
-    predictions = model.transform(test).select("label", "prediction", "rawPrediction")
-    return StanceFit(model, train, predictions)
+        words.unpersist()
+    train, test = table.filter("in_train"), table.filter("not in_train")
+    svm = LinearSVC(
+        featuresCol="features",
+        labelCol="label",
+        maxIter=max_iter,
+        regParam=reg,
+        aggregationDepth=aggregation_depth,
+    ).fit(train.select("label", "features"))
+    predictions = svm.transform(test).select("label", "prediction", "rawPrediction")
+    return StanceFit(PipelineModel([*vectors.stages, svm]), train.select("label"), predictions)
 
 
 def confusion_matrix(predictions: DataFrame) -> DataFrame:

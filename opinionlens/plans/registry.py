@@ -33,9 +33,8 @@ Hold = Callable[[DataFrame], DataFrame]
 
 
 def _topics(posts: DataFrame, p: Params, hold: Hold) -> Results:
-    found = models.topic_words(posts)
-    model = models.fit_topics(found, p.k, min_df=p.min_df, max_df=p.max_df)
-    clustered = hold(models.assign_topics(model, found))
+    fit = models.fit_topics(posts, p.k, min_df=p.min_df, max_df=p.max_df)
+    clustered = hold(fit.clustered)
     return {
         "cluster_summary": models.cluster_summary(clustered),
         "cluster_terms": models.cluster_terms(clustered),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Shuffles here carry partial aggregates, so AQE may size them; nothing is fixed
 # that a cluster would have to undo.
@@ -40,3 +40,32 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="opinionlens-")
     return f"{root.rstrip('/')}/opinionlens-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Store ``df`` in the shared folder and read it back.
+
+    Iterative fits read their input many times. From a stored table they carry no
+    lineage with each task and lose nothing with an executor. Files are of even size,
+    whatever the input layout; with ``key`` they also hold the same rows in the same
+    order every time.
+    """
+    path = shared_dir(df.sparkSession)
+    if key is None:
+        df = df.hint("rebalance")
+    else:
+        partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(partitions, key).sortWithinPartitions(key)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows of a plain scan over all cores, if it has fewer splits than those.
+
+    For costly work on a small or unsplittable source, such as CSV with line breaks
+    inside quotes. Larger inputs are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores, *keys) if splits < cores else df

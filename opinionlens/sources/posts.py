@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from opinionlens.operators.posts import normalize_posts
 from opinionlens.schema import CLEAN_POST, require_columns
+from opinionlens.session import spread
 
 FILE_NAME = "file_name"
 
@@ -45,6 +46,8 @@ def read_raw_posts(
     """Raw exports with the name of the source file in ``file_name``.
 
     Each path may have a header of its own; columns missing in one are null there.
+    Files with line breaks inside quotes cannot be split, so a few of them are spread
+    over the cluster before anything is done to their text.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
@@ -53,7 +56,8 @@ def read_raw_posts(
     for path in paths:
         frame = require_columns(read_csv(spark, path, multiline), ["text"], path)
         frames.append(frame.select("*", F.col("_metadata.file_name").alias(FILE_NAME)))
-    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), frames)
+    raw = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), frames)
+    return spread(raw) if multiline else raw
 
 
 def store_posts(posts: DataFrame, path: str, rebalance: bool = True) -> None:
