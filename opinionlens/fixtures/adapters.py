@@ -100,6 +100,10 @@ PREDICTIONS = """
 select cast(quality as double) as label, cast(toxic as double) as prediction from {labels}
 """
 
+ASSIGNED = """
+select post_id, binary_label, text, cast((post_id * post_id) % 5 as int) as cluster from {posts}
+"""
+
 TEXTS = {
     "posts": POSTS,
     "posts_dirty": POSTS_DIRTY,
@@ -110,8 +114,13 @@ TEXTS = {
     "tag_lists": TAG_LISTS,
     "scores": SCORES,
     "predictions": PREDICTIONS,
+    "assigned": ASSIGNED,
+}
+# The given tables that the adapters read; a declared schema saves a look into the files.
+TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
 }
-TABLES = ("documents", "labels")
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
@@ -121,7 +130,7 @@ def frame(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> Da
     that come in fewer splits than there are cores.
     """
     if name in TABLES:
-        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
         return spread(table, "doc_id") if wide and name == "documents" else table
     text = TEXTS[name]
     inputs = {x: frame(spark, sf_dir, x, wide) for x in (*TABLES, "posts") if "{" + x + "}" in text}

@@ -198,6 +198,12 @@ def _stance(spark, sf):
     return models.fit_stance(_texts(spark, sf), keys=["post_id"])
 
 
+def _assigned(spark, sf):
+    """Posts with clusters given by a rule: what follows the fit, in a form SQL can check."""
+    found = _texts(spark, sf, "assigned")
+    return found.select("post_id", "binary_label", "cluster", tk.tokens("text").alias("words"))
+
+
 def _hash_split(spark, sf):
     split = F.when(models.in_train(["post_id"]), "train").otherwise("test")
     return _posts(spark, sf).select("post_id", split.alias("part"))
@@ -287,9 +293,14 @@ QUERIES: dict[str, Query] = {
     "cluster_summary": lambda s, d: models.cluster_summary(_clustered(s, d)),
     "cluster_terms": lambda s, d: models.cluster_terms(_clustered(s, d)),
     "cluster_shares": lambda s, d: models.cluster_shares(models.cluster_summary(_clustered(s, d))),
+    "cluster_summary_given": lambda s, d: models.cluster_summary(_assigned(s, d)),
+    "cluster_terms_given": lambda s, d: models.cluster_terms(_assigned(s, d)),
+    "cluster_shares_given": lambda s, d: models.cluster_shares(models.cluster_summary(_assigned(s, d))),
+    "terms_of_cluster_given": lambda s, d: models.terms_of_cluster(models.cluster_terms(_assigned(s, d)), 1),
     "svm_metrics": lambda s, d: models.stance_metrics(_stance(s, d)),
     "confusion_matrix": lambda s, d: models.confusion_matrix(_stance(s, d).predictions),
     "confusion_pivot": lambda s, d: reports.label_pivot(models.confusion_matrix(_stance(s, d).predictions)),
+    "confusion_matrix_given": lambda s, d: models.confusion_matrix(_predictions(s, d)),
     "label_pivot": lambda s, d: reports.label_pivot(models.confusion_matrix(_predictions(s, d))),
     "hash_split": _hash_split,
     "auc_from_scores": _auc_from_scores,

@@ -288,6 +288,18 @@ def oracles() -> dict[str, str]:
     )
     state_code = case_when((f"state = {text_literal(s)}", text_literal(c)) for s, c in C.STATE_CODES.items())
     states = word_list(C.STATES)
+    summary = (
+        f"select *, {_share('pos', 'tweet_count')} as pos_share, {_share('neg', 'tweet_count')} as neg_share "
+        f"from (select cluster, count(*) as tweet_count, {CLASS_COUNTS} from assigned group by cluster)"
+    )
+    cluster_words = {
+        "post_words": "select cluster, unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) as word from assigned",
+        "kept_words": kept_words,
+        "terms": "select cluster, word, count, cast(rank as int) as rank from (select *, row_number() over "
+        "(partition by cluster order by count desc, word) as rank from "
+        "(select cluster, word, count(*) as count from kept_words group by cluster, word)) "
+        f"where rank <= {K.TERMS_PER_CLUSTER}",
+    }
     users_once = "count(distinct user_id) as unique_users"
     by_city_sum = "cast(sum(unique_users) as bigint)"
 
@@ -456,6 +468,20 @@ def oracles() -> dict[str, str]:
             f"where binary_label in (0, 1) and state in {states}"
         ),
         "stored_results": _clean_query(f"select *, {state_code} as state_code from temporal", "temporal"),
+        "cluster_summary_given": _query("select * from summary", "assigned", extra={"summary": summary}),
+        "cluster_shares_given": _query(
+            " union all ".join(
+                f"select cluster, tweet_count, '{c}_share' as orientation, {c} / tweet_count as share from summary"
+                for c in ("pos", "neg", "unclear")
+            ),
+            "assigned",
+            extra={"summary": summary},
+        ),
+        "cluster_terms_given": _query("select * from terms", "assigned", extra=cluster_words),
+        "terms_of_cluster_given": _query("select * from terms where cluster = 1", "assigned", extra=cluster_words),
+        "confusion_matrix_given": _query(
+            "select label, prediction, count(*) as count from predictions group by label, prediction", "predictions"
+        ),
         "label_pivot": _query(
             "select label, count(*) filter (where prediction = 0) as predicted_0, "
             "count(*) filter (where prediction = 1) as predicted_1 from predictions group by label",

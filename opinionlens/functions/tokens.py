@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.ml.feature import StopWordsRemover
@@ -16,10 +17,14 @@ from opinionlens.functions.text import ColumnOrName, column
 WORD_PATTERN = "[a-z]{3,}"
 
 
+def possible_words(words: Iterable[str]) -> list[str]:
+    """The words that a token can equal, lower-cased and in order."""
+    return sorted({w.lower() for w in words if re.fullmatch(WORD_PATTERN, w.lower())})
+
+
 def stop_words(extra: Iterable[str] = K.EXTRA_STOPWORDS) -> list[str]:
-    """Spark's English stop words plus ``extra``, lower-cased; only ones a token can equal."""
-    words = {w.lower() for w in [*StopWordsRemover.loadDefaultStopWords("english"), *extra]}
-    return sorted(w for w in words if w.isascii() and w.isalpha() and len(w) >= 3)
+    """Spark's English stop words plus ``extra``."""
+    return possible_words([*StopWordsRemover.loadDefaultStopWords("english"), *extra])
 
 
 def raw_words(c: ColumnOrName) -> Column:
@@ -28,8 +33,8 @@ def raw_words(c: ColumnOrName) -> Column:
 
 def tokens(c: ColumnOrName, stops: Iterable[str] | None = None) -> Column:
     """Words of three letters or more without stop words, in order, repeats kept."""
-    stops = stop_words() if stops is None else list(stops)
-    return F.filter(raw_words(c), lambda w: ~w.isin(stops))
+    stops = stop_words() if stops is None else possible_words(stops)
+    return F.filter(raw_words(c), lambda w: ~w.isin(stops)) if stops else raw_words(c)
 
 
 def tag_pieces(c: ColumnOrName) -> Column:

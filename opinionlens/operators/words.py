@@ -22,8 +22,9 @@ def _words(posts: DataFrame) -> Column:
 
 
 def _drop_stops(rows: DataFrame, stops: Iterable[str] | None) -> DataFrame:
-    stops = tk.stop_words() if stops is None else list(stops)
-    return rows.filter(~F.col("word").isin(stops)) if stops else rows
+    stops = tk.stop_words() if stops is None else tk.possible_words(stops)
+    # Letters only, so the list can be given as SQL text: one call, not one per word.
+    return rows.filter("word not in ('" + "', '".join(stops) + "')") if stops else rows
 
 
 def word_rows(posts: DataFrame, *keep: str, stops: Iterable[str] | None = None) -> DataFrame:
@@ -108,11 +109,12 @@ def tfidf_terms(
     """
     total = posts.agg(F.count("*"))
     ordered = posts.select(F.sort_array(_words(posts)).alias("words"))
-    flagged = F.transform(
-        "words",
-        lambda word, i: F.struct(word.alias("word"), (~F.equal_null(word, F.get("words", i - 1))).alias("first")),
-    )
-    rows = ordered.select(F.inline(flagged))
+    # The slice is the whole array: exploding the column itself would make Spark infer
+    # a filter on it and push that, with the work it repeats, below the sort.
+    every = F.slice("words", 1, F.size("words"))
+    rows = ordered.select("words", F.posexplode(every).alias("pos", "word"))
+    is_first = ~F.equal_null("word", F.get("words", F.col("pos") - 1))
+    rows = rows.select("word", is_first.alias("first"))
     counts = (
         _drop_stops(rows, stops)
         .groupBy("word")

@@ -47,8 +47,9 @@ def materialize(df: DataFrame, key: str | None = None, partitions: int | None =
 
     Iterative fits read their input many times. From a stored table they carry no
     lineage with each task and lose nothing with an executor. Files are of even size,
-    whatever the input layout; with ``key`` they also hold the same rows in the same
-    order every time.
+    whatever the input layout; with a ``key`` that is unique per row they also hold the
+    same rows in the same order every time. The folder is left to the cluster's own
+    clean-up, as frames made from it may still be in use.
     """
     path = shared_dir(df.sparkSession)
     if key is None:

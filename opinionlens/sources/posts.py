@@ -15,6 +15,14 @@ from opinionlens.session import spread
 FILE_NAME = "file_name"
 
 
+def input_paths(folder: str, files: Sequence[str] | None = None) -> list[str]:
+    """The named files, relative ones within ``folder``, or every CSV file of it."""
+    folder = folder.rstrip("/")
+    if not files:
+        return [f"{folder}/*.csv"]
+    return [f if f.startswith("/") or "://" in f else f"{folder}/{f}" for f in files]
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
     """CSV files with one common header, every column a string.
 
@@ -60,8 +68,8 @@ def read_raw_posts(
     return spread(raw) if multiline else raw
 
 
-def store_posts(posts: DataFrame, path: str, rebalance: bool = True) -> None:
-    """Write posts as Parquet partitioned by state.
+def store_posts(posts: DataFrame, path: str, rebalance: bool = True, file_format: str = "parquet") -> None:
+    """Write posts partitioned by state, as Parquet or as CSV with a header.
 
     Rebalancing gives files of even size: adaptive execution splits a state that
     holds a large part of all posts and merges the small ones, where writing straight
@@ -69,7 +77,16 @@ def store_posts(posts: DataFrame, path: str, rebalance: bool = True) -> None:
     """
     if rebalance:
         posts = posts.hint("rebalance", "state")
-    posts.write.mode("overwrite").partitionBy("state").parquet(path)
+    writer = posts.write.mode("overwrite").partitionBy("state").format(file_format)
+    if file_format == "csv":
+        writer = (
+            writer.option("header", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
+    writer.save(path)
 
 
 def read_stored_posts(spark: SparkSession, path: str) -> DataFrame:

@@ -68,6 +68,17 @@ def test_store(spark, small_posts, tmp_path):
     assert "ReadSchema: struct<user_id:string,binary_label:int>" in text
 
 
+def test_store_as_csv(spark, small_posts, tmp_path):
+    normal = posts.normalize_posts(small_posts[0].selectExpr("*", "'say \"x\", y' as description", "' n ' as username"))
+    src.store_posts(normal, str(tmp_path / "c"), file_format="csv")
+    assert rows_of(src.read_posts(spark, str(tmp_path / "c"))) == rows_of(normal)
+
+
+def test_input_paths():
+    assert src.input_paths("clean/") == ["clean/*.csv"]
+    assert src.input_paths("clean", ["a.csv", "/x/b.csv", "s3a://k/c.csv"]) == ["clean/a.csv", "/x/b.csv", "s3a://k/c.csv"]
+
+
 def test_results_round_trip(spark, small_posts, tmp_path):
     out = str(tmp_path)
     df = volume.temporal_evolution(small_posts[0])
