@@ -10,7 +10,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, HashingTF, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from opinionlens.functions import tokens as tk
 from opinionlens.functions import values as v
 from opinionlens.functions.text import column
 from opinionlens.operators.posts import labelled
-from opinionlens.operators.words import rank_terms, word_rows
+from opinionlens.operators.words import rank_terms, tfidf_terms, word_rows
 from opinionlens.session import materialize
 
 
@@ -34,6 +35,29 @@ def topic_words(
     return posts.select(*keep, tk.tokens(F.concat_ws(" ", "text", "hashtags"), stops).alias("words"))
 
 
+def fit_vectors(
+    words: DataFrame, *, vocab_size: int = K.VOCAB_SIZE, min_df: float = K.MIN_DF, max_df: float = K.MAX_DF
+) -> PipelineModel:
+    """Stages from the array column ``words`` to normalised TF-IDF vectors ``features``.
+
+    One aggregation yields vocabulary and weights together, at most ``vocab_size`` rows
+    on the driver, where separate fits would pass over all posts three times or hold
+    their words meanwhile.
+    """
+    terms = tfidf_terms(words, vocab_size, min_df, max_df, stops=()).select("word", "idf").collect()
+    if not terms:
+        raise ValueError(f"no word is in at least {min_df} and at most {max_df} of the posts")
+    return PipelineModel(
+        [
+            CountVectorizerModel.from_vocabulary([t.word for t in terms], inputCol="words", outputCol="tf"),
+            ElementwiseProduct(
+                scalingVec=Vectors.dense([t.idf for t in terms]), inputCol="tf", outputCol="tfidf"
+            ),
+            Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
+        ]
+    )
+
+
 @dataclass(frozen=True)
 class TopicFit:
     model: PipelineModel
@@ -58,17 +82,9 @@ def fit_topics(
     their ``cluster``. Seeds act per partition, so only a fit with a ``key`` among the
     kept columns is the same for every layout of the input.
     """
-    words = topic_words(posts, keep, stops).persist(StorageLevel.MEMORY_AND_DISK)
-    stages = [
-        CountVectorizer(inputCol="words", outputCol="tf", vocabSize=vocab_size, minDF=min_df, maxDF=max_df),
-        IDF(inputCol="tf", outputCol="tfidf"),
-        Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
-    ]
-    try:
-        vectors = Pipeline(stages=stages).fit(words)
-        table = materialize(vectors.transform(words).select(*keep, "words", "features"), key)
-    finally:
-        words.unpersist()
+    words = topic_words(posts, keep, stops)
+    vectors = fit_vectors(words, vocab_size=vocab_size, min_df=min_df, max_df=max_df)
+    table = materialize(vectors.transform(words).select(*keep, "words", "features"), key)
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(table.select("features"))
     return TopicFit(PipelineModel([*vectors.stages, kmeans]), kmeans.transform(table).drop("features"))
 

@@ -1,8 +1,9 @@
 import hashlib
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, RegexTokenizer, StopWordsRemover
 from pyspark.sql import functions as F
 
 from opinionlens import constants as K
@@ -53,6 +54,29 @@ def test_clusters(topical):
     assert all(abs(r[1] - 1) < 1e-9 for r in shares.groupBy("cluster").agg(F.sum("share")).collect())
 
 
+def test_vectors_equal_the_ml_estimators(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", tk.tokens("text").alias("words")).cache()
+    ours = models.fit_vectors(docs, min_df=5, max_df=0.6)
+    theirs = Pipeline(
+        stages=[
+            CountVectorizer(inputCol="words", outputCol="tf", vocabSize=20000, minDF=5, maxDF=0.6),
+            IDF(inputCol="tf", outputCol="tfidf"),
+            Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
+        ]
+    ).fit(docs)
+
+    def weights(model):
+        vocabulary = model.stages[0].vocabulary
+        rows = model.transform(docs).select("doc_id", "features").collect()
+        return {(r.doc_id, vocabulary[i]): x for r in rows for i, x in zip(r.features.indices, r.features.values)}
+
+    a, b = weights(ours), weights(theirs)
+    assert len(a) > 1000 and a.keys() == b.keys()
+    assert all(a[k] == pytest.approx(b[k]) for k in a)
+    with pytest.raises(ValueError, match="no word"):
+        models.fit_vectors(docs, min_df=10**6)
+
+
 def test_keyed_fit_ignores_the_layout(topical):
     def assigned(df):
         fit = models.fit_topics(df, 4, keep=["post_id"], key="post_id", min_df=2)
