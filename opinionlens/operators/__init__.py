@@ -1 +1 @@
-
+"""Functions from DataFrame to DataFrame."""

@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,12 +47,15 @@ def fit_vectors(
     terms = tfidf_terms(words, vocab_size, min_df, max_df, stops=()).select("word", "idf").collect()
     if not terms:
         raise ValueError(f"no word is in at least {min_df} and at most {max_df} of the posts")
+    idf = {t.word: t.idf for t in terms}
+    # One partition, so that words of equal count keep one order.
+    vocabulary = words.sparkSession.createDataFrame([(list(idf),)], "words array<string>").coalesce(1)
+    counter = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=vocab_size, minDF=1.0).fit(vocabulary)
+    weights = Vectors.dense([idf[word] for word in counter.vocabulary])
     return PipelineModel(
         [
-            CountVectorizerModel.from_vocabulary([t.word for t in terms], inputCol="words", outputCol="tf"),
-            ElementwiseProduct(
-                scalingVec=Vectors.dense([t.idf for t in terms]), inputCol="tf", outputCol="tfidf"
-            ),
+            counter,
+            ElementwiseProduct(scalingVec=weights, inputCol="tf", outputCol="tfidf"),
             Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
         ]
     )

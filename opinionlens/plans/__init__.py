@@ -1 +1 @@
-
+"""The analyses and their runner."""

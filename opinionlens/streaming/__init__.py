@@ -1 +1 @@
-
+"""Incremental work."""
