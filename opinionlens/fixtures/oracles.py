@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
 from collections.abc import Iterable, Mapping, Sequence
 
-import pyspark
-
 from opinionlens import constants as K
 from opinionlens.fixtures import catalog as C
 from opinionlens.fixtures.adapters import with_clause
@@ -30,13 +25,6 @@ def case_when(pairs: Iterable[tuple[str, str]], otherwise: str = "null") -> str:
     return "case " + " ".join(f"when {test} then {value}" for test, value in pairs) + f" else {otherwise} end"
 
 
-def _english_stop_words() -> list[str]:
-    """Spark's own list, read from its jar: no session is at hand here."""
-    (jar,) = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as files:
-        return files.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
-
-
 def _query(body: str, *adapters: str, extra: Mapping[str, str] | None = None) -> str:
     parts = [with_clause(*adapters)] if adapters else []
     parts += [f"{name} as ({text})" for name, text in (extra or {}).items()]
@@ -266,7 +254,7 @@ from (select *, {_rule()} as rule from stance_posts)"""
 
 
 def oracles() -> dict[str, str]:
-    stops = word_list(sorted({w.lower() for w in [*_english_stop_words(), *K.EXTRA_STOPWORDS]}))
+    stops = word_list(sorted({w.lower() for w in [*K.ENGLISH_STOPWORDS, *K.EXTRA_STOPWORDS]}))
     post_words = "select post_id, state, unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) as word from posts"
     kept_words = f"select * from post_words where word not in {stops}"
     word_ctes = {"post_words": post_words, "kept_words": kept_words}

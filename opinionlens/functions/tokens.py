@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ def possible_words(words: Iterable[str]) -> list[str]:
 
 def stop_words(extra: Iterable[str] = K.EXTRA_STOPWORDS) -> list[str]:
     """Spark's English stop words plus ``extra``."""
-    return possible_words([*StopWordsRemover.loadDefaultStopWords("english"), *extra])
+    return possible_words([*K.ENGLISH_STOPWORDS, *extra])
 
 
 def raw_words(c: ColumnOrName) -> Column:

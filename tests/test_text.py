@@ -138,3 +138,28 @@ def test_first_file_key_wins(spark):
     table = {"ab": "first", "a": "second"}
     df = spark.createDataFrame([("xab",), ("xa",)], "n string")
     assert [r[0] for r in df.select(v.state_from_name("n", table)).collect()] == ["first", "second"]
+
+
+def test_stop_words_are_those_of_spark(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    assert K.ENGLISH_STOPWORDS == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_oracles_need_neither_install_files_nor_a_session():
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "import os.path, glob, zipfile\n"
+        "def gone(*a, **k): raise FileNotFoundError('no install files')\n"
+        "glob.glob = zipfile.ZipFile = gone\n"
+        "import __spark_entry__ as e\n"
+        "from pyspark import SparkContext\n"
+        "print(len(e.oracle_sql())); assert SparkContext._active_spark_context is None"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout.split()[-1]) >= 63
