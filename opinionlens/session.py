@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,14 +30,10 @@ def build_session(app_name: str = "opinionlens", master: str | None = None, **co
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the one every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting falls back to a temporary folder of this machine.
+    The cluster names it in ``spark.checkpoint.dir``; without that setting it is the
+    warehouse, which executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="opinionlens-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/opinionlens-{uuid.uuid4().hex}"
 
 
