@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinionlens.llm import quality, sentencepiece_codec, simhash, token_counts
+from opinionlens.llm import embeddings, extraction, mixing, quality, secrets, sentencepiece_codec, simhash, suffix_dedup, token_counts
 from opinionlens.llm.common import read, store
 
 MODEL = "piece_bpe_32k.model"
@@ -34,25 +34,57 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, model_path())
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(store(quality.add_statistics(docs)))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"), spans="found")
+    base = secrets.of_kinds(F.col("found"), [r.kind for r in secrets.BASE_RULES])
+    counts = [F.size(secrets.of_kinds(F.col("found"), [r.kind])).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE_RULES]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined(F.col("found")).alias("spans"),
+    )
+
+
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extraction.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_secrets": op7_secrets,
+    "op8_extraction": op8_extraction,
     "op9_simhash": op9_simhash,
+    "op10_embeddings": op10_embeddings,
 }
 
 ORACLES: dict[str, str] = {}
