@@ -1,37 +1,53 @@
-"""A corpus from raw documents: the stages in order, each over all its predecessor kept."""
+"""A corpus from raw documents: the stages in order, each over all that its predecessor kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinionlens.llm import quality, sentencepiece_codec, simhash
+from opinionlens.llm import mixing, quality, secrets, sentencepiece_codec, simhash
 from opinionlens.llm.common import read, store
 from opinionlens.llm.queries import model_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules, weighed against each other, take for good."""
     return quality.keep_good(docs)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
     return simhash.keep_one(docs)
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentencepiece_codec.encode(docs, model_path())
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in their texts replaced by the kind of secret."""
+    return secrets.redact(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_docs(docs)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their pieces, and the text that these spell."""
+    return sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model_path()), model_path())
 
 
 STAGES = [
     ("quality_rules", quality_rules),
-    ("simhash_near_dedup", near_duplicates),
-    ("sentencepiece", encode),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("secret_scans", secret_scans),
+    ("source_mixing", source_mixing),
+    ("sentencepiece", sentencepiece),
 ]
 
+# Fingerprints and pieces have no SQL; tests/llm compares the rows with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages; what a stage returns is stored and read again as the next one's input."""
+    """All stages; what one returns is stored and read again as the next one's documents."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir))

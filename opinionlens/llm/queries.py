@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinionlens.llm import embeddings, extraction, mixing, quality, secrets, sentencepiece_codec, simhash, suffix_dedup, token_counts
+from opinionlens.llm import embeddings, extraction, mixing, paragraph_dedup, quality, secrets, sentencepiece_codec, simhash, suffix_dedup, token_counts
 from opinionlens.llm.common import read, store
+from opinionlens.llm.oracles import ORACLES  # noqa: F401
 
 MODEL = "piece_bpe_32k.model"
 
@@ -38,6 +39,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.remove_paragraphs(read(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, model_path())
@@ -78,6 +83,7 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_paragraph_dedup": op3_paragraph_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
@@ -86,5 +92,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_embeddings": op10_embeddings,
 }
-
-ORACLES: dict[str, str] = {}

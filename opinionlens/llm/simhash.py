@@ -121,7 +121,7 @@ def close_pairs(fingerprints: DataFrame, max_bits: int = MAX_BITS, blocks: int =
 
 
 def classes(signed: DataFrame, key: str, max_bits: int = MAX_BITS) -> DataFrame:
-    """``fingerprint`` and ``component_id``: the smallest key of its connected component.
+    """``fingerprint``, ``component_id`` (the smallest key of its component) and ``root``, which names it.
 
     ``signed`` has ``key`` and ``fingerprint`` and is read several times: store it first.
     Null keys do not count for the minimum; a component with null keys only has a null id.
@@ -132,7 +132,7 @@ def classes(signed: DataFrame, key: str, max_bits: int = MAX_BITS) -> DataFrame:
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(smallest, "root").select("fingerprint", "component_id")
+    return rooted.join(smallest, "root").select("fingerprint", "component_id", "root")
 
 
 def near_duplicates(
@@ -154,22 +154,19 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits:
     Of rows with equal keys and texts one stays; rows with a null key stay only if no
     other row of their component has a key, and then one of them.
     """
-    marked = add_fingerprints(docs.withColumn("__body", F.col(text)), "__body", "__fingerprint")
-    keyed = marked.select(F.col(key).alias("__key"), F.col("__fingerprint").alias("fingerprint"))
-    signed = store(keyed)
-    found = classes(signed, "__key", max_bits)
-    # One text of each component: first its smallest key, then its smallest fingerprint.
-    best = (
+    own = F.struct(*[F.col(c) for c in docs.columns]).alias("__own")
+    named = F.struct(F.col(key).isNull().alias("missing"), F.coalesce(F.col(key).cast("bigint"), F.lit(0)).alias("key"))
+    signed = add_fingerprints(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("__body")), "__body")
+    signed = store(signed.select("key", "fingerprint"))
+    found = classes(signed, "key", max_bits)
+    # One text of each component: that of its smallest key, and of these the smallest fingerprint.
+    first = (
         signed.join(found, "fingerprint")
-        .filter(F.col("__key").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", "fingerprint")
-        .agg(F.count("*").alias("rows"))
+        .filter(F.col("key").eqNullSafe(F.col("component_id")))
+        .groupBy("root")
+        .agg(F.min("fingerprint").alias("fingerprint"), F.first("key").alias("key"))
     )
-    chosen = best.groupBy("component_id").agg(F.min("fingerprint").alias("__fingerprint")).withColumnRenamed("component_id", "__key")
-    kept = marked.join(
-        chosen,
-        marked["__fingerprint"].eqNullSafe(chosen["__fingerprint"]) & marked[key].eqNullSafe(chosen["__key"]),
-        "left_semi",
-    )
-    order = [c for c in docs.columns]
-    return kept.select(*order).dropDuplicates([key]) if key in order else kept.select(*order)
+    chosen = first.select("fingerprint", F.struct(F.col("key").isNull().alias("missing"), F.coalesce("key", F.lit(0)).alias("key")).alias("__key"))
+    marked = add_fingerprints(docs.select(own, named.alias("__key"), F.col(text).alias("__body")), "__body")
+    kept = marked.join(chosen, ["fingerprint", "__key"], "left_semi")
+    return kept.dropDuplicates(["fingerprint", "__key"]).select("__own.*")
