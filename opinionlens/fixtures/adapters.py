@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinionlens.session import spread
-
 POSTS = """
 select d.doc_id as post_id, cast(d.doc_id % 50 as string) as user_id,
        concat('user_', cast(d.doc_id % 50 as string)) as username,
@@ -38,7 +36,8 @@ from {posts}
 RAW_POSTS = """
 select doc_id as post_id,
        concat(text, ' http://ex.org/', cast(doc_id as string), '#frag', cast(doc_id % 3 as string),
-              ' #Tag', cast(doc_id % 7 as string), ' #été_1 😀 awwww') as text,
+              ' #Tag', cast(doc_id % 7 as string), ' #été_1 😀 awwww',
+              case when doc_id % 9 = 0 then ' it&#8217;s &eacute;t&eacute; #e\u0301te\u0301_2' else '' end) as text,
        concat('Jo_', cast(doc_id as string), ' 🎉 (', lang, ')') as username,
        concat('reads ', lang, ' & ', source, ' www.ex.org/', cast(doc_id as string), '  daily!') as description,
        lang as Extracted_Location, concat(lang, ', ', source) as location_raw,
@@ -48,7 +47,7 @@ from {documents}
 
 DAMAGED_POSTS = """
 select doc_id as post_id,
-       concat(text, case doc_id % 8
+       concat(text, case doc_id % 12
            when 0 then ' fish &amp;amp; chips &lt;now&gt;'
            when 1 then ' <b>kept &amp; kept</b>'
            when 2 then ' cafÃ© itâ€™s Ã‰tÃ© Â£5 ðŸ˜€'
@@ -56,6 +55,9 @@ select doc_id as post_id,
            when 4 then concat(' line', chr(13), chr(10), 'break', chr(13), 'end', chr(7), '.')
            when 5 then ' ＦＵＬＬ　ｗｉｄｔｈ　５'
            when 6 then ' said&nbsp;&quot;so&quot; &#39;n&#39;'
+           when 7 then ' it&#8217;s &eacute;t&eacute; &#x27;q&#X27; &nosuch; &amp;rarr; &#0; &#xD800; &'
+           when 8 then ' cafe\u0301 E\u0301te\u0301 #e\u0301te\u0301 a\u0308\u0301 x\u0301 \u0438\u0306'
+           when 9 then ' Ð¿Ñ€Ð¸Ð²ÐµÑ‚ Îº Ã… Å¡Ä\u008d'
            else '' end) as text
 from {documents}
 """
@@ -123,17 +125,12 @@ TABLES = {
 }
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
-    """An adapter, or one of the given tables, as a DataFrame.
-
-    ``wide`` is for queries that spend their time on the text: it spreads documents
-    that come in fewer splits than there are cores.
-    """
+def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An adapter, or one of the given tables, as a DataFrame."""
     if name in TABLES:
-        table = spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
-        return spread(table, "doc_id") if wide and name == "documents" else table
+        return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
     text = TEXTS[name]
-    inputs = {x: frame(spark, sf_dir, x, wide) for x in (*TABLES, "posts") if "{" + x + "}" in text}
+    inputs = {x: frame(spark, sf_dir, x) for x in (*TABLES, "posts") if "{" + x + "}" in text}
     return spark.sql(text, **inputs)
 
 

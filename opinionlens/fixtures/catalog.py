@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +17,8 @@ from opinionlens.functions import tokens as tk
 from opinionlens.functions import values as v
 from opinionlens.operators import labeling, models, polarization, reports, subjects, tags, volume, words
 from opinionlens.operators import posts as post_ops
-from opinionlens.session import shared_dir
+from opinionlens.plans import registry
+from opinionlens.session import materialize, shared_dir
 from opinionlens.sources import posts as post_sources
 from opinionlens.sources import results as result_sources
 from opinionlens.streaming.labels import label_new_files
@@ -29,14 +34,20 @@ STATE_CODES = {f"src{i}": f"S{i}" for i in range(19)}
 FILE_KEYS = {"src1_": "One", "src1": "Teens", "src2": "Two", "en": "English"}
 STATES = ["src1", "src2", "src3"]
 
+# Patterns as a caller may write them: optional ends, classes and alternatives at the top.
+CUSTOM_NEG = [r"\b[ct]rump\b(\s+2024)?", r"\b(?:never|worst) [a-z]+|coward$"]
+CUSTOM_POS = [r"\bvote\b(\s+blue)?", r"anti-?maga|\bquinces?\b"]
+
+# Files of the model queries' stored feature tables.
+FIT_PARTITIONS = 8
+
 
 def _posts(spark, sf):
     return frame(spark, sf, "posts")
 
 
 def _texts(spark, sf, adapter="posts"):
-    """An adapter for a query that spends its time on the text."""
-    return frame(spark, sf, adapter, wide=True)
+    return frame(spark, sf, adapter)
 
 
 def _clean(spark, sf):
@@ -115,6 +126,12 @@ def _rule_label(spark, sf):
     return posts.select("post_id", labeling.rule_label("text", "hashtags").alias("rule_label"))
 
 
+def _rule_label_custom(spark, sf):
+    posts = _texts(spark, sf, "stance_posts")
+    label = labeling.rule_label("text", "hashtags", CUSTOM_NEG, CUSTOM_POS)
+    return posts.select("post_id", label.alias("rule_label"))
+
+
 def _build_prompt(spark, sf):
     posts = _texts(spark, sf, "stance_posts").withColumn(
         "hashtags", F.when(F.col("post_id") % 3 == 0, "").otherwise(F.col("hashtags"))
@@ -148,6 +165,26 @@ def _label_resume(spark, sf):
     return spark.read.parquet(f"{root}/labelled").select(*LABEL_COLUMNS)
 
 
+def _label_retry(spark, sf):
+    """A first run during which the model is away, and a second one that makes up for it."""
+    root = shared_dir(spark)
+    posts = _texts(spark, sf, "stance_posts")
+    posts.write.parquet(f"{root}/posts")
+
+    def away(prompts: list[str]) -> list[str]:
+        raise ConnectionError("the model is away")
+
+    for model in (away, _stand_in_model()):
+        try:
+            label_new_files(
+                spark, f"{root}/posts", posts.schema, f"{root}/labelled", f"{root}/progress", model, backoff=0.0
+            )
+        except StreamingQueryException:
+            if model is not away:
+                raise
+    return spark.read.parquet(f"{root}/labelled").select(*LABEL_COLUMNS)
+
+
 def _still_to_label(spark, sf):
     posts = _texts(spark, sf, "stance_posts")
     done = labeling.label_posts(posts).filter(F.col("post_id") % 3 > 0)
@@ -159,8 +196,11 @@ def _still_to_label(spark, sf):
 
 def _read_posts(spark, sf):
     path = f"{shared_dir(spark)}/posts_csv"
+    # Line breaks are escaped, so that the files can be split when they are read.
+    escaped = F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
     (
         frame(spark, sf, "posts_dirty")
+        .withColumn("text", escaped)
         .write.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -168,9 +208,9 @@ def _read_posts(spark, sf):
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    return post_sources.read_posts(spark, path, multiline=True, keep=["post_id"]).withColumn(
-        "post_id", F.col("post_id").cast("bigint")
-    )
+    parts = F.transform(F.split("text", r"\\\\\\\\"), lambda part: F.replace(part, F.lit("\\n"), F.lit("\n")))
+    read = post_sources.read_posts(spark, path, keep=["post_id"])
+    return read.withColumns({"post_id": F.col("post_id").cast("bigint"), "text": F.array_join(parts, "\\")})
 
 
 def _stored_posts(spark, sf):
@@ -189,13 +229,76 @@ def _stored_results(spark, sf):
 # --- models -------------------------------------------------------------------
 
 
+_FITS: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark, sf, name, fit):
+    """A fit, made once for a session and input, for all queries that report on it."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _FITS:
+        _FITS[key] = fit()
+    return _FITS[key]
+
+
 def _clustered(spark, sf):
-    posts = _texts(spark, sf)
-    return models.fit_topics(posts, keep=["post_id", "binary_label"], key="post_id").clustered
+    def fit():
+        posts = _texts(spark, sf)
+        return models.fit_topics(
+            posts, keep=["post_id", "binary_label"], key="post_id", partitions=FIT_PARTITIONS
+        ).clustered
+
+    return _once(spark, sf, "topics", fit)
 
 
 def _stance(spark, sf):
-    return models.fit_stance(_texts(spark, sf), keys=["post_id"])
+    def fit():
+        found = models.fit_stance(_texts(spark, sf), keys=["post_id"], partitions=FIT_PARTITIONS)
+        return replace(found, predictions=materialize(found.predictions))
+
+    return _once(spark, sf, "stance", fit)
+
+
+def _tfidf_vectors(spark, sf):
+    """The vectors of the clusters' features, entry by entry."""
+    words_of = models.topic_words(_texts(spark, sf).withColumn("hashtags", F.lit("")), ["post_id"], tk.stop_words())
+    vectors = models.fit_vectors(words_of)
+    names = F.array(*[F.lit(w) for w in vectors.stages[0].vocabulary])
+    entries = F.posexplode(vector_to_array("features")).alias("at", "weight")
+    found = vectors.transform(words_of).select("post_id", entries).filter("weight != 0")
+    return found.select("post_id", F.get(names, F.col("at")).alias("word"), F.round("weight", 9).alias("weight"))
+
+
+def _stored(spark, sf):
+    """The four results by state, written as the runner writes them and read back."""
+    out = shared_dir(spark)
+    registry.run(_clean(spark, sf), out, ["geo_distribution", "temporal_evolution", "polarization_city"])
+    result_sources.write_result(_comparison(spark, sf), out, "keyword_comparison")
+    return result_sources.load_results(spark, out)
+
+
+def _run_registry(spark, sf):
+    """Rows of each result, after the runner has written it."""
+    out, chosen = shared_dir(spark), [1, 2, 3, 5, "keyword_comparison", "polarization_city"]
+    params = registry.Params(keywords_a=KEYWORDS_A, keywords_b=KEYWORDS_B)
+    paths = registry.run(_clean(spark, sf), out, chosen, params, cache=True)
+    tables = [result_sources.read_result(spark, out, p.rpartition("/")[2]).select(F.lit(p.rpartition("/")[2]).alias("result")) for p in paths]
+    return reduce(DataFrame.unionAll, tables).groupBy("result").agg(F.count("*").alias("rows"))
+
+
+def _available_results(spark, sf):
+    out = shared_dir(spark)
+    registry.run(_clean(spark, sf), out, ["geo_distribution", "temporal_evolution"])
+    names = result_sources.available_results(result_sources.load_results(spark, out))
+    return spark.createDataFrame([(n,) for n in names], "result string")
+
+
+def _score_metrics(spark, sf):
+    """Of all metrics those that are scores; here the accuracy, as SQL has it too."""
+    metrics = models.classification_metrics(_predictions(spark, sf)).unionAll(
+        _predictions(spark, sf).agg(F.count("*").cast("double").alias("value")).select(F.lit("test_rows"), "value")
+    )
+    scores = models.score_metrics(metrics).filter("metric not in ('f1', 'weighted_precision', 'weighted_recall')")
+    return scores.select("metric", F.round("value", 9).alias("value"))
 
 
 def _assigned(spark, sf):
@@ -210,7 +313,7 @@ def _hash_split(spark, sf):
 
 
 def _auc_from_scores(spark, sf):
-    area = models.area_under_roc(frame(spark, sf, "scores"), score="score", num_bins=0)
+    area = models.area_under_roc(frame(spark, sf, "scores"), score="score")
     return spark.createDataFrame([("area_under_roc", round(area, 9))], "metric string, value double")
 
 
@@ -234,9 +337,7 @@ QUERIES: dict[str, Query] = {
     "daily_volume": lambda s, d: reports.daily_volume(_temporal(s, d)),
     "daily_state_volume": lambda s, d: reports.daily_state_volume(_temporal(s, d)),
     "daily_composition": lambda s, d: reports.daily_composition(_temporal(s, d)),
-    "distinct_states": lambda s, d: reports.distinct_states(
-        [_geo(s, d), _temporal(s, d), _comparison(s, d), _cities(s, d)]
-    ),
+    "distinct_states": lambda s, d: reports.distinct_states(_stored(s, d).values()),
     "filter_states": lambda s, d: post_ops.filter_states(_geo(s, d), STATES),
     "formatted_volume": lambda s, d: reports.daily_volume(_temporal(s, d)).select(
         "date", v.format_thousands(F.col("tweet_count") * 12345).alias("shown")
@@ -278,17 +379,21 @@ QUERIES: dict[str, Query] = {
     "tokens": _tokens,
     # labels
     "rule_label": _rule_label,
+    "rule_label_custom": _rule_label_custom,
     "build_prompt": _build_prompt,
     "parse_answer": _parse_answer,
     "label_posts": _label_posts,
     "model_label": _model_label,
     "label_resume": _label_resume,
+    "label_retry": _label_retry,
     "still_to_label": _still_to_label,
     "label_coverage": lambda s, d: post_ops.label_coverage(_clean(s, d), ["state"]),
     # sources and sinks
     "read_posts": _read_posts,
     "stored_posts": _stored_posts,
     "stored_results": _stored_results,
+    "run_registry": _run_registry,
+    "available_results": _available_results,
     # models
     "cluster_summary": lambda s, d: models.cluster_summary(_clustered(s, d)),
     "cluster_terms": lambda s, d: models.cluster_terms(_clustered(s, d)),
@@ -303,6 +408,8 @@ QUERIES: dict[str, Query] = {
     "confusion_matrix_given": lambda s, d: models.confusion_matrix(_predictions(s, d)),
     "label_pivot": lambda s, d: reports.label_pivot(models.confusion_matrix(_predictions(s, d))),
     "hash_split": _hash_split,
+    "tfidf_vectors": _tfidf_vectors,
+    "score_metrics_given": _score_metrics,
     "auc_from_scores": _auc_from_scores,
     "classification_metrics": _classification_metrics,
 }

@@ -53,15 +53,35 @@ def _latin(c: str) -> str:
     return rf"regexp_replace({c}, '[^A-Za-z0-9À-ÖØ-öø-ÿ{SPACE}]', '', 'g')"
 
 
+def _unescaped(c: str) -> str:
+    """Character references decoded, segment by segment."""
+    names = ", ".join(f"{text_literal(k)}: {text_literal(v)}" for k, v in tx.ENTITIES.items())
+    code = (
+        "try_cast(case when lower(s[3]) = 'x' then '0x' || s[4:length(s) - 1] else s[3:length(s) - 1] end as bigint)"
+    )
+    character = f"case when {code} between 1 and 55295 or {code} between 57344 and 1114111 then chr(cast({code} as int)) else chr(65533) end"
+    decoded = case_when(
+        [
+            ("length(s) > 2 and starts_with(s, '&#')", character),
+            ("length(s) > 2 and starts_with(s, '&')", f"coalesce(map {{{names}}}[s[2:length(s) - 1]], s)"),
+        ],
+        "s",
+    )
+    once = f"regexp_replace({c}, '&(amp;)+', '&', 'g')"
+    return f"array_to_string(list_transform(regexp_extract_all({once}, '{tx.ENTITY_SEGMENTS}', 1), lambda s: {decoded}), '')"
+
+
 def _repair(c: str) -> str:
-    unescaped = f"regexp_replace({c}, '&(amp;)+', '&', 'g')"
-    for old, new in tx.ENTITIES.items():
-        unescaped = f"replace({unescaped}, {text_literal(old)}, {text_literal(new)})"
+    unescaped = _unescaped(c)
     b = f"translate(s, {text_literal(tx.CP1252_CHARS)}, {text_literal(tx.C1_CHARS)})"
     tail = [f"(ord(({b})[{i}]) - 128)" for i in range(2, 5)]
     decoded = case_when(
         [
-            ("length(s) = 2", f"chr((ord(({b})[1]) - 192) * 64 + {tail[0]})"),
+            (
+                f"ord(({b})[1]) < 224",
+                f"array_to_string([chr((ord(({b})[2 * i + 1]) - 192) * 64 + ord(({b})[2 * i + 2]) - 128) "
+                "for i in range(length(s) // 2)], '')",
+            ),
             ("length(s) = 3", f"chr((ord(({b})[1]) - 224) * 4096 + {tail[0]} * 64 + {tail[1]})"),
             ("length(s) = 4", f"chr({tail[0]} * 4096 + {tail[1]} * 64 + {tail[2]})"),
         ]
@@ -77,7 +97,7 @@ def _repair(c: str) -> str:
     for line_break in ("chr(13) || chr(10)", "chr(13)", "chr(8232)", "chr(8233)"):
         out = f"replace({out}, {line_break}, chr(10))"
     controls = tx.CONTROL_PATTERN[tx.CONTROL_PATTERN.index(")") + 1 :]
-    return f"regexp_replace({out}, '{controls}', '', 'g')"
+    return f"nfc_normalize(regexp_replace({out}, '{controls}', '', 'g'))"
 
 
 def _clean_text(c: str) -> str:
@@ -91,12 +111,17 @@ def _names(keywords: Sequence[str]) -> str:
     )
 
 
-def _rule(text: str = "text", tags: str = "hashtags") -> str:
+def _rule(
+    text: str = "text",
+    tags: str = "hashtags",
+    neg_patterns: Sequence[str] = K.NEG_PATTERNS,
+    pos_patterns: Sequence[str] = K.POS_PATTERNS,
+) -> str:
     content = f"lower({text} || ' ' || {tags})"
     return case_when(
         [
             (f"regexp_matches({content}, '{'|'.join(patterns)}')", value)
-            for patterns, value in ((K.NEG_PATTERNS, "0"), (K.POS_PATTERNS, "1"))
+            for patterns, value in ((neg_patterns, "0"), (pos_patterns, "1"))
         ]
     )
 
@@ -232,6 +257,24 @@ def _tag_query(body: str, adapter: str = "posts", **extra: str) -> str:
     return _query(body, adapter, extra={"tag_pieces": pieces, "tag_rows": TAG_ROWS, **extra})
 
 
+def _registry_query() -> str:
+    """Rows of each result that the runner writes."""
+    texts = {
+        "clean": CLEAN, "geo": GEO, "temporal": TEMPORAL, "users": USERS, "cities": CITIES, "comparison": COMPARISON,
+        "tag_pieces": TAG_PIECES, "tag_rows": TAG_ROWS, "distinctive": DISTINCTIVE,
+        "counted": f"select hashtag, count(*) from tag_rows group by hashtag limit {K.TOP_N}",
+    }
+    # The runner is given the normalised posts, and so are the tags here.
+    texts["tag_pieces"] = texts["tag_pieces"].replace("from posts", "from clean")
+    texts["comparison"] = texts["comparison"].replace("from posts", "from clean")
+    names = {
+        "geo_distribution": "geo", "temporal_evolution": "temporal", "top_hashtags": "counted",
+        "distinctive_hashtags": "distinctive", "keyword_comparison": "comparison", "polarization_city": "cities",
+    }
+    body = " union all ".join(f"select '{n}' as result, count(*) as \"rows\" from {t}" for n, t in names.items())
+    return _query(body, "posts_dirty", extra=texts)
+
+
 def _label_query(decided_by_model: bool) -> str:
     if not decided_by_model:
         return _query(
@@ -326,6 +369,25 @@ def oracles() -> dict[str, str]:
         "daily_volume": _clean_query("select date, count(*) as tweet_count from clean group by date"),
         "daily_state_volume": _clean_query("select date, state, count(*) as tweet_count from clean group by all"),
         "daily_composition": _clean_query(f"select date, {CLASS_COUNTS} from clean group by date"),
+        "run_registry": _registry_query(),
+        "available_results": _clean_query("select unnest(['geo_distribution', 'temporal_evolution']) as result"),
+        "score_metrics_given": _query(
+            "select 'accuracy' as metric, round(count(*) filter (where label = prediction) / count(*), 9) as value "
+            "from predictions",
+            "predictions",
+        ),
+        "tfidf_vectors": _query(
+            "select post_id, word, round(tf * idf / sqrt(sum((tf * idf) ** 2) over (partition by post_id)), 9) as weight "
+            "from (select post_id, word, count(*) as tf from kept_words group by post_id, word) join terms using (word)",
+            "posts",
+            extra={
+                **word_ctes,
+                "terms": "select word, ln((n + 1) / (doc_count + 1)) as idf from (select word, count(*) as term_count, "
+                "count(distinct post_id) as doc_count, (select count(*) from posts) as n from kept_words group by word) "
+                f"where doc_count >= {K.MIN_DF} and doc_count <= {K.MAX_DF} * n "
+                f"order by term_count desc, word limit {K.VOCAB_SIZE}",
+            },
+        ),
         "distinct_states": _clean_query("select distinct state from clean"),
         "filter_states": _clean_query(f"select * from geo where state in {states}", "geo"),
         "formatted_volume": _clean_query(
@@ -433,6 +495,10 @@ def oracles() -> dict[str, str]:
             "posts",
         ),
         "rule_label": _query(f"select post_id, {_rule()} as rule_label from stance_posts", "stance_posts"),
+        "rule_label_custom": _query(
+            f"select post_id, {_rule(neg_patterns=C.CUSTOM_NEG, pos_patterns=C.CUSTOM_POS)} as rule_label from stance_posts",
+            "stance_posts",
+        ),
         "build_prompt": _query(
             f"select post_id, {_prompt('text', 'tags')} as prompt from "
             "(select *, case when post_id % 3 = 0 then '' else hashtags end as tags from stance_posts)",
@@ -442,6 +508,7 @@ def oracles() -> dict[str, str]:
         "label_posts": _label_query(decided_by_model=False),
         "model_label": _label_query(decided_by_model=True),
         "label_resume": _label_query(decided_by_model=True),
+        "label_retry": _label_query(decided_by_model=True),
         "still_to_label": _query(
             f"select post_id from (select *, {_rule()} as rule from stance_posts) "
             "where post_id % 3 = 0 or (binary_label is null and rule is null)",

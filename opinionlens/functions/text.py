@@ -11,23 +11,19 @@ a negative look-ahead that turns common characters away in one or two.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+import unicodedata
+from collections.abc import Mapping, Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from opinionlens import constants as K
+from opinionlens.functions.classes import SPACE_CHARS, WORD_CHARS
+from opinionlens.functions.patterns import portable_pattern  # noqa: F401
 
 ColumnOrName = Column | str
 
-# Inner part of a class: every code point Unicode calls white space, plus the
-# four separators U+001C..U+001F.
-SPACE_CHARS = (
-    r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
-WORD_CHARS = r"\p{L}\p{N}_"
-
 URL_PATTERN = rf"(?=[hw])(?:http|www)[^{SPACE_CHARS}]+"
 # Runs of white space, but for a lone ordinary space, which is right already.
 SPACES_PATTERN = rf"(?![!-~])(?: [{SPACE_CHARS}]+|(?! )[{SPACE_CHARS}]+)"
@@ -74,15 +70,17 @@ _CP1252_BYTES = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x9
 CP1252_CHARS = bytes(_CP1252_BYTES).decode("cp1252")
 C1_CHARS = bytes(_CP1252_BYTES).decode("latin-1")
 
-# UTF-8 bytes that were read as Latin-1 or windows-1252: two-byte letters,
-# general punctuation and letter-like signs, and emoji.
+# UTF-8 bytes that were read as Latin-1 or windows-1252: two-byte letters, general
+# punctuation and letter-like signs, and emoji. A single pair behind the leads of Latin
+# Extended-A, Greek and Cyrillic could be meant as it stands; two in a row are damage.
 _TRAIL = r"\x{80}-\x{BF}" + CP1252_CHARS
+_RUN_LEADS = r"\x{C4}\x{C5}\x{CE}\x{CF}\x{D0}\x{D1}"
 MOJIBAKE_PATTERN = (
-    rf"\x{{C2}}[\x{{A0}}-\x{{BF}}]|\x{{C3}}[{_TRAIL}]"
+    rf"\x{{C2}}[\x{{A0}}-\x{{BF}}]|\x{{C3}}[{_TRAIL}]|(?:[{_RUN_LEADS}][{_TRAIL}]){{2,}}"
     rf"|\x{{E2}}[\x{{80}}\x{{84}}€„][{_TRAIL}]"
     rf"|\x{{F0}}[\x{{9F}}Ÿ][{_TRAIL}]{{2}}"
 )
-_LEADS = r"\x{C2}\x{C3}\x{E2}\x{F0}"
+_LEADS = r"\x{C2}\x{C3}\x{E2}\x{F0}" + _RUN_LEADS
 SEGMENT_PATTERN = rf"({MOJIBAKE_PATTERN}|[^{_LEADS}]+|[{_LEADS}])"
 
 # One-to-one replacements, built by rule: stray C1 bytes, curly quotes, full-width forms.
@@ -96,14 +94,30 @@ _CHAR_MAP = (
 REPAIR_FROM, REPAIR_TO = "".join(_CHAR_MAP), "".join(_CHAR_MAP.values())
 
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " "}
+# Named character references that end in a semicolon, from the standard library.
+ENTITIES = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
+ENTITY_SEGMENTS = r"(&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&)"
+
+# Letters with one mark, by the pair of characters that they decompose into.
+MARKS = r"\x{300}-\x{345}"
+COMPOSED = {
+    unicodedata.normalize("NFD", chr(cp)): chr(cp)
+    for cp in [*range(0xC0, 0x250), *range(0x386, 0x3D0), *range(0x400, 0x4FA), *range(0x1E00, 0x1F00)]
+    if len(unicodedata.normalize("NFD", chr(cp))) == 2 and unicodedata.normalize("NFC", chr(cp)) == chr(cp)
+}
+# Letters with two marks: the letter with the first one, and the second.
+COMPOSED |= {
+    unicodedata.decomposition(chr(cp)) and "".join(chr(int(x, 16)) for x in unicodedata.decomposition(chr(cp)).split()): chr(cp)
+    for cp in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]
+    if len(unicodedata.normalize("NFD", chr(cp))) == 3 and len(unicodedata.decomposition(chr(cp)).split()) == 2
+}
 
 CONTROL_PATTERN = r"(?![ -~])[\x{00}-\x{08}\x{0B}\x{0E}-\x{1F}\x{7F}\x{206A}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFC}]"
 LINE_BREAK_PATTERN = r"(?![ -~])(?:\r\n?|[\x{2028}\x{2029}])"
 
 # Any character that some repair step could act on.
 SUSPECT_PATTERN = (
-    r"(?![\n !-%'-~])[&\x{00}-\x{08}\x{0B}\x{0D}-\x{1F}\x{7F}-\x{9F}" + _LEADS + r"\x{2018}-\x{201F}\x{2028}\x{2029}"
+    r"(?![\n !-%'-~])[&\x{00}-\x{08}\x{0B}\x{0D}-\x{1F}\x{7F}-\x{9F}" + _LEADS + MARKS + r"\x{2018}-\x{201F}\x{2028}\x{2029}"
     r"\x{206A}-\x{206F}\x{3000}\x{FB00}-\x{FB06}\x{FEFF}\x{FF01}-\x{FF5E}\x{FFF9}-\x{FFFC}]"
 )
 
@@ -114,8 +128,53 @@ def _replace_all(c: Column, table: Mapping[str, str]) -> Column:
     return c
 
 
+def _table(table: Mapping[str, str]) -> Column:
+    """A constant map, from one literal: thousands of them would slow down the planner."""
+    pairs = "\x02".join(f"{old}\x01{new}" for old, new in table.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x01"))
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; U+FFFD for what is none."""
+    valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(valid, text).otherwise("�")
+
+
 def _unescape(c: Column) -> Column:
-    return _replace_all(F.regexp_replace(c, "&(?:amp;)+", "&"), ENTITIES)
+    """Named and numeric character references, also where their & was escaped again."""
+    named = _table(ENTITIES)
+
+    def decoded(segment: Column) -> Column:
+        inside = F.substring(segment, 2, F.length(segment) - 2)
+        digits = F.substring(inside, 2, F.length(inside))
+        number = F.when(F.lower(digits).startswith("x"), F.conv(F.substring(digits, 2, F.length(digits)), 16, 10))
+        number = number.otherwise(digits).try_cast("bigint")
+        reference = F.when(inside.startswith("#"), _character(number)).otherwise(F.coalesce(F.try_element_at(named, inside), segment))
+        return F.when((F.length(segment) > 2) & segment.startswith("&"), reference).otherwise(segment)
+
+    once = F.regexp_replace(c, "&(?:amp;)+", "&")
+    segments = F.regexp_extract_all(once, F.lit(ENTITY_SEGMENTS), F.lit(1))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(segments, decoded), "")).otherwise(c)
+
+
+def _compose(c: Column) -> Column:
+    """Letters followed by combining marks as single characters, up to two marks each."""
+    table = _table(COMPOSED)
+    pattern = F.lit(rf"(?s)([^{MARKS}][{MARKS}]|[^{MARKS}]+(?=[^{MARKS}][{MARKS}])|[^{MARKS}]+(?![{MARKS}])|.)")
+
+    def composed(segment: Column) -> Column:
+        return F.when(F.length(segment) == 2, F.coalesce(F.try_element_at(table, segment), segment)).otherwise(segment)
+
+    fixed = c
+    for _ in range(2):
+        fixed = F.array_join(F.transform(F.regexp_extract_all(fixed, pattern, F.lit(1)), composed), "")
+    return F.when(c.rlike(f"[{MARKS}]"), fixed).otherwise(c)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _undo_mojibake(c: Column) -> Column:
@@ -128,7 +187,8 @@ def _undo_mojibake(c: Column) -> Column:
 
 def repair_text(c: ColumnOrName) -> Column:
     """Undo common damage: HTML entities, mis-decoded UTF-8, stray control bytes,
-    curly quotes, full-width forms, ligatures, odd line breaks, control characters.
+    curly quotes, full-width forms, ligatures, odd line breaks, control characters,
+    letters apart from their accents.
 
     Entities are left alone in text that holds a ``<``: it may be markup. Rows with
     no suspect character pay for one pattern search only.
@@ -138,7 +198,7 @@ def repair_text(c: ColumnOrName) -> Column:
     fixed = _undo_mojibake(fixed)
     fixed = _replace_all(F.translate(fixed, REPAIR_FROM, REPAIR_TO), LIGATURES)
     fixed = F.regexp_replace(F.regexp_replace(fixed, LINE_BREAK_PATTERN, "\n"), CONTROL_PATTERN, "")
-    return F.when(c.rlike(SUSPECT_PATTERN), fixed).otherwise(c)
+    return F.when(c.rlike(SUSPECT_PATTERN), _let(fixed, _compose)).otherwise(c)
 
 
 def strip_noise(c: ColumnOrName) -> Column:
@@ -176,28 +236,6 @@ def keyword_pattern(keywords: Sequence[str]) -> str:
     return rf"(?=[{initials}])(?<![{WORD_CHARS}])(?:{alternatives})(?![{WORD_CHARS}])"
 
 
-def portable_pattern(patterns: Iterable[str]) -> str:
-    r"""Join patterns into one, with ``\b`` and ``\s`` given their Unicode meaning.
-
-    ``\b`` before a letter, a digit or ``(`` is the start of a word, elsewhere the end
-    of one. Patterns that begin with a word share the test for its start, which is
-    then made once per position. ``(?d)`` lets ``.`` stop at line feeds only.
-    """
-    start, end = f"(?<![{WORD_CHARS}])", f"(?![{WORD_CHARS}])"
-
-    def translate(pattern: str) -> str:
-        pattern = pattern.replace(r"[-\s]", f"[-{SPACE_CHARS}]").replace(r"\s", f"[{SPACE_CHARS}]")
-        pattern = re.sub(r"\\b(?=[A-Za-z0-9_(])", lambda _: start, pattern)
-        return pattern.replace(r"\b", end)
-
-    translated = [translate(p) for p in patterns]
-    words = [p.removeprefix(start) for p in translated if p.startswith(start)]
-    others = [f"(?:{p})" for p in translated if not p.startswith(start)]
-    if words:
-        others.insert(0, start + "(?:" + "|".join(f"(?:{w})" for w in words) + ")")
-    return "(?d)" + "|".join(others)
-
-
 def mentions(c: ColumnOrName, keywords: Sequence[str]) -> Column:
     """True where the lower-cased text names any keyword."""
     return F.lower(column(c)).rlike(keyword_pattern(keywords))

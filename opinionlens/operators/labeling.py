@@ -17,6 +17,12 @@ from opinionlens.functions.text import ColumnOrName, column
 from opinionlens.schema import require_columns
 
 PredictBatch = Callable[[list[str]], list[str]]
+# Errors of a model that is away for the moment. Any other one is a fault and stops the job.
+RETRYABLE: tuple[type[Exception], ...] = (OSError,)
+
+
+class ModelUnavailable(OSError):
+    """No replies, or not as many as there were prompts."""
 
 PROMPT = """Decide which side the author of a social post supports.
 
@@ -77,11 +83,15 @@ def model_answers(
     batch_size: int = 64,
     retries: int = K.MODEL_RETRIES,
     backoff: float = K.MODEL_BACKOFF_SECONDS,
+    retryable: tuple[type[Exception], ...] = RETRYABLE,
+    give_up: bool = True,
 ):
     """A vectorised function from prompts to replies.
 
-    Null prompts are not asked. A batch that still fails after ``retries`` tries
-    yields null replies, which a later run may ask again.
+    Null prompts are not asked. A batch is tried again after an error among ``retryable``
+    (connection errors and time-outs are) or too few replies; other errors are raised at
+    once. If it still fails after ``retries`` tries, its replies are null, which a later
+    run may ask again, or with ``give_up=False`` the task fails.
     """
 
     def ask(prompts: list[str]) -> list[str | None]:
@@ -89,11 +99,13 @@ def model_answers(
             try:
                 replies = list(predict_batch(prompts))
                 if len(replies) != len(prompts):
-                    raise ValueError(f"{len(replies)} replies to {len(prompts)} prompts")
+                    raise ModelUnavailable(f"{len(replies)} replies to {len(prompts)} prompts")
                 return replies
-            except Exception:
+            except (*retryable, ModelUnavailable):
                 if attempt < retries:
                     time.sleep(backoff * attempt)
+                elif not give_up:
+                    raise
         return [None] * len(prompts)
 
     @F.pandas_udf("string")

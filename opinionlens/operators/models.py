@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -21,9 +20,12 @@ from opinionlens.functions import values as v
 from opinionlens.functions.text import column
 from opinionlens.operators.posts import labelled
 from opinionlens.operators.words import rank_terms, tfidf_terms, word_rows
-from opinionlens.session import materialize
+from opinionlens.session import discard, materialize
 
 
+# Files of a stored feature table, for fits that need the same rows in each of them every time.
+FIT_PARTITIONS = 200
+
 # --- topic clusters -----------------------------------------------------------
 
 
@@ -78,18 +80,23 @@ def fit_topics(
     min_df: float = K.MIN_DF,
     max_df: float = K.MAX_DF,
     seed: int = K.SEED,
+    partitions: int = FIT_PARTITIONS,
 ) -> TopicFit:
     """Cluster posts by K-Means on normalised TF-IDF vectors of their words.
 
     Returns the fitted stages and the posts (the ``keep`` columns and ``words``) with
     their ``cluster``. Seeds act per partition, so only a fit with a ``key`` among the
-    kept columns is the same for every layout of the input.
+    kept columns is the same for every layout of the input; its vectors, and nothing
+    else, are stored in ``partitions`` files while it lasts. Choose as many as keep a
+    file at some hundred megabytes. Without a key files are of even size.
     """
     words = topic_words(posts, keep, stops)
     vectors = fit_vectors(words, vocab_size=vocab_size, min_df=min_df, max_df=max_df)
-    table = materialize(vectors.transform(words).select(*keep, "words", "features"), key)
+    table = materialize(vectors.transform(words).select(*([key] if key else []), "features"), key, partitions)
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(table.select("features"))
-    return TopicFit(PipelineModel([*vectors.stages, kmeans]), kmeans.transform(table).drop("features"))
+    discard(table)
+    model = PipelineModel([*vectors.stages, kmeans])
+    return TopicFit(model, model.transform(words).select(*keep, "words", "cluster"))
 
 
 def cluster_summary(clustered: DataFrame) -> DataFrame:
@@ -172,34 +179,39 @@ def fit_stance(
     max_iter: int = K.SVM_MAX_ITER,
     reg: float = K.SVM_REG,
     aggregation_depth: int = 2,
+    partitions: int = FIT_PARTITIONS,
+    max_rows: int | None = None,
 ) -> StanceFit:
     """A linear SVM on hashed TF-IDF features, with predictions for the held-out part.
 
     ``keys`` name the columns that identify a post for the split; by default its
-    author, date and features do. Raise ``aggregation_depth`` on many executors.
+    author, date and features do. Raise ``aggregation_depth`` on many executors: each
+    iteration adds up one dense gradient per partition of the stored table. ``max_rows``
+    bounds the posts that the fit learns from, chosen by the hash of their key; by
+    default all of the training part are used.
     """
     keys = list(keys or dict.fromkeys(["user_id", "date", *features]))
     chosen = labelled(posts).withColumn("in_train", in_train(keys))
-    words = stance_words(chosen, features, keep=["in_train"]).persist(StorageLevel.MEMORY_AND_DISK)
-    stages = [
-        HashingTF(inputCol="words", outputCol="tf", numFeatures=hash_size),
-        IDF(inputCol="tf", outputCol="features"),
-    ]
-    try:
-        vectors = Pipeline(stages=stages).fit(words.filter("in_train"))
-        table = materialize(vectors.transform(words).select("in_train", "label", "features"))
-    finally:
-        words.unpersist()
-    train, test = table.filter("in_train"), table.filter("not in_train")
+    chosen = chosen.withColumn("split_key", F.md5(F.concat_ws("\x1f", *[column(k).cast("string") for k in keys])))
+    words = stance_words(chosen, features, keep=["in_train", "split_key"])
+    train = words.filter("in_train")
+    if max_rows is not None:
+        train = train.orderBy("split_key").limit(max_rows)
+    hashing = HashingTF(inputCol="words", outputCol="tf", numFeatures=hash_size)
+    # Counts are stored once; weighing them again in each pass costs less than a second copy.
+    table = materialize(hashing.transform(train).select("split_key", "label", "tf"), "split_key", partitions)
+    idf = IDF(inputCol="tf", outputCol="features").fit(table)
     svm = LinearSVC(
         featuresCol="features",
         labelCol="label",
         maxIter=max_iter,
         regParam=reg,
         aggregationDepth=aggregation_depth,
-    ).fit(train.select("label", "features"))
-    predictions = svm.transform(test).select("label", "prediction", "rawPrediction")
-    return StanceFit(PipelineModel([*vectors.stages, svm]), train.select("label"), predictions)
+    ).fit(idf.transform(table).select("label", "features"))
+    discard(table)
+    model = PipelineModel([hashing, idf, svm])
+    predictions = model.transform(words.filter("not in_train")).select("label", "prediction", "rawPrediction")
+    return StanceFit(model, train.select("label"), predictions)
 
 
 def confusion_matrix(predictions: DataFrame) -> DataFrame:
@@ -210,8 +222,8 @@ def confusion_matrix(predictions: DataFrame) -> DataFrame:
     )
 
 
-def area_under_roc(predictions: DataFrame, score: str = "rawPrediction", num_bins: int = 1000) -> float:
-    """Area under the ROC curve; exact with ``num_bins=0``, else from that many score bins.
+def area_under_roc(predictions: DataFrame, score: str = "rawPrediction", num_bins: int = 0) -> float:
+    """Area under the ROC curve; exact, or from so many score bins as ``num_bins`` names.
 
     Spark sorts the distinct scores across the cluster and returns one number.
     """

@@ -26,7 +26,7 @@ def user_orientation(posts: DataFrame) -> DataFrame:
 
 
 def polarization_city(posts: DataFrame, min_users: int = K.MIN_CITY_USERS) -> DataFrame:
-    """How far the users of each (state, city) lean to one side, most polarized first."""
+    """How far the users of each (state, city) lean to one side."""
     side = F.col("user_orientation")
     return (
         user_orientation(posts)
@@ -43,16 +43,13 @@ def polarization_city(posts: DataFrame, min_users: int = K.MIN_CITY_USERS) -> Da
         .filter(F.col("classified_users") >= min_users)
         .withColumns(
             {
-                "pos_user_share": v.share("pos_users", "classified_users"),
-                "neg_user_share": v.share("neg_users", "classified_users"),
-                "balanced_user_share": v.share("balanced_users", "classified_users"),
+                **{f"{side}_user_share": v.share(f"{side}_users", "classified_users") for side in ("pos", "neg", "balanced")},
                 "user_polarization_score": v.share(
                     F.abs(F.col("pos_users") - F.col("neg_users")), "classified_users"
                 ),
                 "dominant_user_orientation": v.orientation("pos_users", "neg_users"),
             }
         )
-        .orderBy(F.desc("user_polarization_score"), F.desc("classified_users"), "state", "city")
     )
 
 

@@ -53,9 +53,9 @@ def state_mentions(comparison: DataFrame) -> DataFrame:
 
 
 def distinct_states(tables: Iterable[DataFrame]) -> DataFrame:
-    """Every state named in any of the tables, in order."""
+    """Every state named in any of the tables."""
     columns = [t.select("state") for t in tables if "state" in t.columns]
-    return reduce(DataFrame.unionByName, columns).dropna().distinct().orderBy("state")
+    return reduce(DataFrame.unionByName, columns).dropna().distinct()
 
 
 def label_pivot(counts: DataFrame, classes: Sequence[float] = (0, 1)) -> DataFrame:

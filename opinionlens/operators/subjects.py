@@ -60,5 +60,4 @@ def keyword_comparison(
         .withColumns(
             {"a_share": v.share("a_mentions", "tweet_count"), "b_share": v.share("b_mentions", "tweet_count")}
         )
-        .orderBy("state")
     )

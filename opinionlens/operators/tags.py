@@ -54,7 +54,7 @@ def distinctive_hashtags(
         )
         .withColumns(
             {
-                "distinctiveness_score": F.round(F.abs(score), 4),
+                "distinctiveness_score": F.abs(score),
                 "dominant_orientation": v.orientation(score, F.lit(0.0)),
             }
         )

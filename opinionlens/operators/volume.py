@@ -9,25 +9,19 @@ from opinionlens.functions.values import class_counts
 
 
 def geo_distribution(posts: DataFrame) -> DataFrame:
-    """Posts and distinct users per (state, city), busiest first.
+    """Posts and distinct users per (state, city).
 
     Spark groups by (state, city, user) before it counts, so neither a hot city nor
     a hot user ends up in one task.
     """
-    return (
-        posts.groupBy("state", "city")
-        .agg(F.count("*").alias("tweet_count"), F.count_distinct("user_id").alias("unique_users"))
-        .orderBy(F.desc("tweet_count"), "state", "city")
+    return posts.groupBy("state", "city").agg(
+        F.count("*").alias("tweet_count"), F.count_distinct("user_id").alias("unique_users")
     )
 
 
 def temporal_evolution(posts: DataFrame) -> DataFrame:
     """Posts per (date, state) and class; posts without a date form their own group."""
-    return (
-        posts.groupBy("date", "state")
-        .agg(F.count("*").alias("tweet_count"), *class_counts())
-        .orderBy("date", "state")
-    )
+    return posts.groupBy("date", "state").agg(F.count("*").alias("tweet_count"), *class_counts())
 
 
 def _user_places(posts: DataFrame) -> DataFrame:

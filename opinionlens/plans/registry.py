@@ -23,7 +23,13 @@ class Params:
     k: int = K.KMEANS_K
     min_df: float = K.MIN_DF
     max_df: float = K.MAX_DF
+    vocab_size: int = K.VOCAB_SIZE
+    seed: int = K.SEED
     svm_features: Sequence[str] = K.SVM_FEATURES
+    svm_hash_size: int = K.SVM_HASH_SIZE
+    svm_max_iter: int = K.SVM_MAX_ITER
+    svm_reg: float = K.SVM_REG
+    fit_partitions: int = models.FIT_PARTITIONS
     keywords_a: Sequence[str] = tuple(K.KEYWORDS_A)
     keywords_b: Sequence[str] = tuple(K.KEYWORDS_B)
 
@@ -33,7 +39,9 @@ Hold = Callable[[DataFrame], DataFrame]
 
 
 def _topics(posts: DataFrame, p: Params, hold: Hold) -> Results:
-    fit = models.fit_topics(posts, p.k, min_df=p.min_df, max_df=p.max_df)
+    fit = models.fit_topics(
+        posts, p.k, vocab_size=p.vocab_size, min_df=p.min_df, max_df=p.max_df, seed=p.seed, partitions=p.fit_partitions
+    )
     clustered = hold(fit.clustered)
     return {
         "cluster_summary": models.cluster_summary(clustered),
@@ -42,7 +50,9 @@ def _topics(posts: DataFrame, p: Params, hold: Hold) -> Results:
 
 
 def _stance(posts: DataFrame, p: Params, hold: Hold) -> Results:
-    fit = models.fit_stance(posts, p.svm_features)
+    fit = models.fit_stance(
+        posts, p.svm_features, hash_size=p.svm_hash_size, max_iter=p.svm_max_iter, reg=p.svm_reg, partitions=p.fit_partitions
+    )
     fit = replace(fit, predictions=hold(fit.predictions))
     return {
         "metrics": models.stance_metrics(fit),

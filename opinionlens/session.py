@@ -37,31 +37,29 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/opinionlens-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, key: str | None = None, partitions: int = 200) -> DataFrame:
     """Store ``df`` in the shared folder and read it back.
 
     Iterative fits read their input many times. From a stored table they carry no
     lineage with each task and lose nothing with an executor. Files are of even size,
     whatever the input layout; with a ``key`` that is unique per row they also hold the
-    same rows in the same order every time. The folder is left to the cluster's own
-    clean-up, as frames made from it may still be in use.
+    same rows in the same order every time, in ``partitions`` files: choose as many as
+    keep a file at some hundred megabytes. :func:`discard` removes the folder again.
     """
     path = shared_dir(df.sparkSession)
     if key is None:
         df = df.hint("rebalance")
     else:
-        partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(partitions, key).sortWithinPartitions(key)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """The rows of a plain scan over all cores, if it has fewer splits than those.
-
-    For costly work on a small or unsplittable source, such as CSV with line breaks
-    inside quotes. Larger inputs are returned as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df.repartition(cores, *keys) if splits < cores else df
+def discard(stored: DataFrame) -> None:
+    """Delete the files below a frame from :func:`materialize`, once nothing reads them any more."""
+    jvm = stored.sparkSession.sparkContext._jvm
+    conf = stored.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {file.rpartition("/")[0] for file in stored.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getName().startswith("opinionlens-"):
+            path.getFileSystem(conf).delete(path, True)

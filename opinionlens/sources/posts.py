@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from opinionlens.operators.posts import normalize_posts
 from opinionlens.schema import CLEAN_POST, require_columns
-from opinionlens.session import spread
 
 FILE_NAME = "file_name"
 
@@ -49,13 +48,14 @@ def read_posts(
 
 
 def read_raw_posts(
-    spark: SparkSession, paths: str | Sequence[str], multiline: bool = True
+    spark: SparkSession, paths: str | Sequence[str], multiline: bool = False, partitions: int | None = None
 ) -> DataFrame:
     """Raw exports with the name of the source file in ``file_name``.
 
     Each path may have a header of its own; columns missing in one are null there.
-    Files with line breaks inside quotes cannot be split, so a few of them are spread
-    over the cluster before anything is done to their text.
+    ``multiline`` is for importing many small files: one with line breaks inside quotes
+    cannot be split, so each is read by one task. ``partitions`` deals the rows out to so
+    many tasks before anything is done to their text; without it nothing is shuffled.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
@@ -65,7 +65,7 @@ def read_raw_posts(
         frame = require_columns(read_csv(spark, path, multiline), ["text"], path)
         frames.append(frame.select("*", F.col("_metadata.file_name").alias(FILE_NAME)))
     raw = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), frames)
-    return spread(raw) if multiline else raw
+    return raw if partitions is None else raw.repartition(partitions)
 
 
 def store_posts(posts: DataFrame, path: str, rebalance: bool = True, file_format: str = "parquet") -> None:

@@ -48,6 +48,21 @@ RESULTS: dict[str, tuple[str, str]] = {
 }
 
 
+# The order in which a result is stored. Operators leave their rows unsorted, as others may
+# read them; sorting is the sink's work.
+ORDERS: dict[str, list[str]] = {
+    "geo_distribution": ["tweet_count desc", "state", "city"],
+    "temporal_evolution": ["date", "state"],
+    "keyword_comparison": ["state"],
+    "polarization_city": ["user_polarization_score desc", "classified_users desc", "state", "city"],
+}
+
+
+def in_order(df: DataFrame, name: str) -> DataFrame:
+    """The rows of a result in the order of its stored form."""
+    return df.orderBy(*[F.expr(c) if " " not in c else F.desc(c.split()[0]) for c in ORDERS[name]]) if name in ORDERS else df
+
+
 def result_path(out_dir: str, name: str) -> str:
     folder, _ = RESULTS[name]
     return f"{out_dir.rstrip('/')}/{folder}/{name}"
@@ -56,7 +71,7 @@ def result_path(out_dir: str, name: str) -> str:
 def write_result(df: DataFrame, out_dir: str, name: str, file_format: str = "csv") -> str:
     """Replace one stored result. Tasks write their own parts; nulls become empty fields."""
     path = result_path(out_dir, name)
-    writer = df.write.mode("overwrite").format(file_format)
+    writer = in_order(df, name).write.mode("overwrite").format(file_format)
     if file_format == "csv":
         writer = writer.option("header", True).option("emptyValue", "").option("quote", '"').option("escape", '"')
     writer.save(path)

@@ -27,7 +27,8 @@ def label_new_files(
 
     Progress is kept after every batch of ``max_files_per_batch`` files; a run that
     was cut short goes on where it stopped, and no post is written twice or asked
-    about again once its batch is committed. ``source_dir``, ``out_dir`` and
+    about again once its batch is committed. A batch for which the model stays away is
+    not committed: the run ends with an error, and the next one asks for it again. ``source_dir``, ``out_dir`` and
     ``checkpoint_dir`` must be reachable by all executors.
     """
     posts = (
@@ -38,6 +39,8 @@ def label_new_files(
     )
     if prepare is not None:
         posts = prepare(posts)
+    if predict_batch is not None:
+        options.setdefault("give_up", False)
     query = (
         label_posts(posts, predict_batch, **options)
         .writeStream.format("parquet")

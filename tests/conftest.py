@@ -29,7 +29,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    path = "/root/testdata/sf0.001"
+    path = "/root/testdata/sf0.01"
     if not os.path.isdir(path):
         pytest.skip("no test tables")
     return path

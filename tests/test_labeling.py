@@ -1,7 +1,9 @@
 import re
+from functools import partial
 
 import pytest
 from conftest import rows_of
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,6 +128,37 @@ def test_failed_batch_is_tried_again(spark, tmp_path):
     assert _labels(too_few) == {1: (None, "error")}
 
 
+def test_faults_of_the_hook_are_raised(spark):
+    df = spark.createDataFrame([(1, "t")], "id int, text string")
+
+    def broken(prompts):
+        return [p.no_such_name for p in prompts]
+
+    with pytest.raises(Exception, match="no_such_name"):
+        labeling.label_posts(df, broken, backoff=0.0).collect()
+
+    def moody(prompts):
+        raise KeyError("overloaded")
+
+    assert _labels(labeling.label_posts(df, moody, backoff=0.0, retryable=(KeyError,))) == {1: (None, "error")}
+
+
+def test_stream_asks_again_after_an_outage(spark, stance, tmp_path):
+    src, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    stance.write.parquet(src)
+    run = partial(label_new_files, spark, src, T.StructType(stance.schema.fields), out, progress, backoff=0.0)
+
+    def away(prompts):
+        raise TimeoutError("away")
+
+    with pytest.raises(StreamingQueryException):
+        run(away)
+    run(lambda prompts: ["1"] * len(prompts))
+    got = spark.read.parquet(out)
+    assert got.count() == 8
+    assert _labels(got) == _labels(labeling.label_posts(stance, lambda prompts: ["1"] * len(prompts)))
+
+
 def test_still_to_label(stance):
     done = labeling.label_posts(stance, _model(), backoff=0.0, batch_size=1)
     assert [r.id for r in labeling.still_to_label(stance, done, "id").collect()] == [7]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinionlens.operators import labeling, polarization, posts, subjects, tags, volume, words
-from opinionlens.session import materialize, shared_dir, spread
+from opinionlens.session import discard, materialize, shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -79,15 +79,50 @@ def test_no_operator_collects_or_crosses(stored):
         assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_spread_and_materialize(spark, stored):
-    single = stored.coalesce(1)
-    assert spread(single).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 50)
-    assert spread(many) is many
+def test_plans_do_not_depend_on_the_number_of_files(spark, stored, tmp_path):
+    """One file or fifty: the same plan, but for names of files and columns."""
+    plans = []
+    for files in (1, 50):
+        path = str(tmp_path / str(files))
+        stored.repartition(files).write.parquet(path)
+        posts = spark.read.parquet(path)
+        shown = [plan(df) for df in (
+            words.frequent_words(posts), subjects.keyword_comparison(posts), labeling.label_posts(posts), words.word_cooccurrence(posts),
+        )]
+        plans.append([re.sub(r"Location: .*?\]|plan_id=\d+|\d+ paths|expr_id=\d+|subquery#\w*|\[id=.*?\]", "", x).replace(path, "") for x in shown])
+    assert plans[0] == plans[1]
+
+
+def test_fit_tables_have_the_given_partitions_and_are_removed(spark, stored, monkeypatch):
+    from opinionlens.operators import models
+
+    seen = []
+
+    def noted(df, key=None, partitions=200):
+        seen.append(materialize(df, key, partitions))
+        assert seen[-1].select(F.input_file_name()).distinct().count() == partitions
+        return seen[-1]
+
+    monkeypatch.setattr(models, "materialize", noted)
+    fit = models.fit_topics(stored, 2, key="post_id", keep=["post_id", "binary_label"], min_df=1, partitions=3)
+    models.fit_stance(stored, ["text"], keys=["post_id"], hash_size=64, max_iter=2, partitions=2)
+    assert [t.columns for t in seen] == [["post_id", "features"], ["split_key", "label", "tf"]]
+    assert fit.clustered.count() == stored.count()
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    for table in seen:
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            table.collect()
+
+
+def test_materialize(spark, stored):
     table = materialize(stored.select("post_id", "text"), "post_id", 3)
     assert table.count() == stored.count() and "FileScan parquet" in plan(table)
     assert len({r[0] for r in table.select(F.input_file_name()).collect()}) == 3
-    assert materialize(stored.select("text")).count() == stored.count()
+    kept = materialize(stored.select("text"))
+    assert kept.count() == stored.count()
+    discard(kept)
 
 
 def test_shared_dir_needs_the_cluster_setting(spark):

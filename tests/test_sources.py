@@ -44,7 +44,7 @@ def test_shifted_headers_raise(spark, tmp_path):
 def test_read_raw(spark, tmp_path):
     (tmp_path / "Nevada_tweets.csv").write_text("text,Extracted_Location\nhello #a,Reno\n#b,Reno\n")
     (tmp_path / "ohio.csv").write_text("Extracted_Location,text,username\nTroy,\"two\nlines\",Jo!\n")
-    raw = src.read_raw_posts(spark, [f"{tmp_path}/Nevada_tweets.csv", f"{tmp_path}/ohio.csv"])
+    raw = src.read_raw_posts(spark, [f"{tmp_path}/Nevada_tweets.csv", f"{tmp_path}/ohio.csv"], multiline=True, partitions=3)
     got = posts.clean_posts(raw, file_name=src.FILE_NAME).select("text", "hashtags", "city", "username", "state")
     assert rows_of(got) == [("hello", "#a", "Reno", "", "Nevada"), ("two lines", "", "Troy", "Jo", None)]
     (tmp_path / "bad.csv").write_text("a,b\n1,2\n")

@@ -140,6 +140,61 @@ def test_first_file_key_wins(spark):
     assert [r[0] for r in df.select(v.state_from_name("n", table)).collect()] == ["first", "second"]
 
 
+REPAIRS = [
+    ("it&#8217;s &eacute;t&eacute;", "it's été"),
+    ("&#x27;q&#X27; &amp;rarr; &rarr; &nosuch; &#0; &#xD800; & &;", "'q' → → &nosuch; \ufffd \ufffd & &;"),
+    ("&amp;amp; fish", "& fish"),
+    ("<b>&eacute;</b>", "<b>&eacute;</b>"),
+    ("cafe\u0301 E\u0301te\u0301 \u0438\u0306", "café Été й"),
+    ("a\u0302\u0301 \u0301 x\u0301", "ấ \u0301 x\u0301"),
+    ("Ð¿Ñ€Ð¸Ð²ÐµÑ‚", "привет"),
+    ("Å¡Ä\u008d", "šč"),
+    ("caf\u00c3\u00a9 it\u00e2\u20ac\u2122s", "café it's"),
+    ("\u00f0\u0178\u02dc\u20ac", "😀"),
+    ("ESPAÑ\u201d", 'ESPAÑ"'),
+    ("ﬁne \uff21\u3000b\r\nc\x07", "fine A b\nc"),
+    (None, None),
+    ("", ""),
+]
+
+
+def test_repairs_by_literal_rows(spark):
+    df = spark.createDataFrame(REPAIRS, "damaged string, wanted string")
+    for r in df.select("*", tx.repair_text("damaged").alias("found")).collect():
+        assert r["found"] == r["wanted"], r["damaged"]
+
+
+def test_tags_after_repair(spark):
+    from opinionlens.operators.posts import clean_posts
+
+    text = "it&#8217;s &#x27;so&#x27; #e\u0301te\u0301 &lt;#one&gt;"
+    rows = spark.createDataFrame([(text, "u", "d")], "text string, username string, description string")
+    assert clean_posts(rows).first()["hashtags"] == "#été;#one"
+
+
+PATTERNS = [
+    r"\bvote\b(\s+blue)?", r"\b[uv]ote\b", r"\bvote blue|kamala2024", r"\bvote\b", r"vote\b", r"\bvote", r"\b(vote|red)\b",
+    r"\b(?:vote|red)s?\b", r"(?:\bx|y\b)z?", r"\b\w+ed\b", r"\b#\w+", r"#\w+\b", r"\bé\w*", r"\bn[o0]\b|\byes\b", r"\d+\b", r"\b\d{4}\b",
+    r"[-\s]blue", r"\S+@\S+", r"\W{2,}", r"[\w.]+\b!", r"\b!", r"!\b", r"\b", r"\Bote", r"vot\B", r"\b(a|b)?vote", r"(vote)?\b", r"(?:a\b)?!",
+    r"^\bvote", r"blue\b$", r"\b.ote\b", r"\b[^v]ote", r"[\d-]+x", r"\bvote(?= blue\b)", r"(?<!\w)blue", r"\b(?:#vote|vote)\b", r"[\[&]a",
+]
+MIXED = [
+    "please vote now", "we xkamala2024 here", "vote  blue", "vote blue!", "voted", "revote", "uote", "note vote", "né éa àvote", "vote_1 x", "2024 votes", "20245",
+    "#vote", "a#vote b", "été vote", "no", "n0 yes", "red reds", "yz xz ax", "a! !b", "me@x.org", "x -blue", "tab\tblue", "вote", "vote", "", "!", "a.b!", "1-2x",
+    "blue", "say blue", "zvote", "avote bvote", "[a &a", "vote blue", "votó",
+]
+
+
+@pytest.mark.parametrize("pattern", PATTERNS)
+def test_patterns_mean_what_they_mean_in_python(spark, pattern):
+    from opinionlens.functions.patterns import portable_pattern
+
+    df = spark.createDataFrame([(t,) for t in MIXED], "t string")
+    for patterns in ([pattern], [pattern, r"\bquince\b"], [r"\bzebra", pattern]):
+        found = {r["t"]: r["hit"] for r in df.select("t", F.col("t").rlike(portable_pattern(patterns)).alias("hit")).collect()}
+        assert found == {t: any(re.search(p, t) for p in patterns) for t in MIXED}, portable_pattern(patterns)
+
+
 def test_stop_words_are_those_of_spark(spark):
     from pyspark.ml.feature import StopWordsRemover
 
