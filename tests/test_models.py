@@ -2,11 +2,14 @@ import hashlib
 
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import LinearSVC
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
 from pyspark.sql import functions as F
 
 from opinionlens import constants as K
+from opinionlens.fixtures.adapters import frame
 from opinionlens.functions import tokens as tk
 from opinionlens.operators import models
 
@@ -36,7 +39,7 @@ def test_tokens_equal_the_ml_transformers(spark, sf_dir):
 
 
 def test_clusters(topical):
-    fit = models.fit_topics(topical, 3, keep=["post_id", "binary_label"], key="post_id", min_df=2)
+    fit = models.fit_topics(topical, 3, keep=["post_id", "binary_label"], key="post_id", min_df=2, partitions=4)
     clustered = fit.clustered.cache()
     summary = models.cluster_summary(clustered)
     rows = summary.collect()
@@ -79,7 +82,7 @@ def test_vectors_equal_the_ml_estimators(spark, sf_dir):
 
 def test_keyed_fit_ignores_the_layout(topical):
     def assigned(df):
-        fit = models.fit_topics(df, 4, keep=["post_id"], key="post_id", min_df=2)
+        fit = models.fit_topics(df, 4, keep=["post_id"], key="post_id", min_df=2, partitions=4)
         return {r.post_id: r.cluster for r in fit.clustered.collect()}
 
     assert assigned(topical) == assigned(topical.repartition(7))
@@ -91,7 +94,7 @@ def test_topic_words_leave_out_the_listed_ones(spark):
 
 
 def test_stance(topical):
-    fit = models.fit_stance(topical, keys=["post_id"], hash_size=1 << 12)
+    fit = models.fit_stance(topical, keys=["post_id"], hash_size=1 << 12, partitions=4)
     metrics = {r.metric: r.value for r in models.stance_metrics(fit).collect()}
     assert list(metrics) == [
         "area_under_roc", "accuracy", "f1", "weighted_precision", "weighted_recall", "train_rows", "test_rows"
@@ -104,6 +107,48 @@ def test_stance(topical):
         models.fit_stance(topical, [])
 
 
+def test_stance_equals_a_plain_pipeline(spark, sf_dir):
+    """On noisy labels: the same classifier as one fitted directly on the same rows."""
+    posts = frame(spark, sf_dir, "posts")
+    ours = models.fit_stance(posts, keys=["post_id"], hash_size=1 << 12, max_iter=20, partitions=4)
+    words = models.stance_words(posts.withColumn("train", models.in_train(["post_id"])), keep=["train", "post_id"]).cache()
+    plain = Pipeline(
+        stages=[
+            HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 12),
+            IDF(inputCol="tf", outputCol="features"),
+            LinearSVC(maxIter=20, regParam=K.SVM_REG),
+        ]
+    ).fit(words.filter("train"))
+    test = words.filter("not train")
+    theirs = [(r.post_id, r.prediction, r.rawPrediction[1]) for r in plain.transform(test).collect()]
+    mine = [(r.post_id, r.prediction, r.rawPrediction[1]) for r in ours.model.transform(test).collect()]
+    assert len(theirs) > 50 and len({p for _, p, _ in theirs}) == 2
+    assert {i: p for i, p, _ in mine} == {i: p for i, p, _ in theirs}
+    assert [s for *_, s in sorted(mine)] == pytest.approx([s for *_, s in sorted(theirs)], abs=1e-3)
+    bounded = models.fit_stance(posts, keys=["post_id"], hash_size=1 << 12, max_iter=2, partitions=2, max_rows=40)
+    assert bounded.train.count() == 40
+
+
+def test_clusters_equal_a_plain_pipeline(spark, sf_dir):
+    """The same clusters, up to their numbers, as those fitted directly on the same rows."""
+    posts = frame(spark, sf_dir, "posts")
+    ours = models.fit_topics(posts, 4, keep=["post_id"], key="post_id", min_df=5, partitions=4).clustered
+    words = models.topic_words(posts, ["post_id"]).repartition(4, "post_id").sortWithinPartitions("post_id")
+    plain = Pipeline(
+        stages=[
+            CountVectorizer(inputCol="words", outputCol="tf", vocabSize=20000, minDF=5, maxDF=0.6),
+            IDF(inputCol="tf", outputCol="tfidf"),
+            Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
+            KMeans(k=4, seed=K.SEED, predictionCol="theirs"),
+        ]
+    ).fit(words)
+    both = plain.transform(words).select("post_id", "theirs").join(ours, "post_id")
+    pairs = both.groupBy("cluster", "theirs").count().collect()
+    assert sum(r["count"] for r in pairs) == posts.count()
+    best = sum(max(r["count"] for r in pairs if r["cluster"] == c) for c in {r["cluster"] for r in pairs})
+    assert len({r["theirs"] for r in pairs}) > 1 and best >= 0.95 * posts.count()
+
+
 def test_metrics_equal_the_evaluators(spark):
     rows = [(0.0, 0.0)] * 7 + [(0.0, 1.0)] * 2 + [(1.0, 0.0)] * 3 + [(1.0, 1.0)] * 5
     df = spark.createDataFrame(rows, "label double, prediction double")

@@ -1,6 +1,9 @@
+import glob
+
 import pytest
 from conftest import rows_of
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from opinionlens.operators import posts, volume
 from opinionlens.plans import registry
@@ -121,3 +124,17 @@ def test_run(spark, small_posts, tmp_path):
     assert [p.rsplit("/", 1)[1] for p in again] == ["geo_distribution", "frequent_words", "word_cooccurrence"]
     with pytest.raises(ValueError):
         registry.run(df, str(tmp_path), [10], registry.Params(svm_features=()))
+
+
+def test_results_are_stored_in_order(spark, tmp_path):
+    """Read back file by file, a stored result has its order; operators themselves do not sort."""
+    rows = [("b", "y", 3, 1), ("a", "z", 9, 2), ("a", "x", 3, 3), ("c", "w", 5, 4)]
+    df = spark.createDataFrame(rows, "state string, city string, tweet_count bigint, unique_users bigint").repartition(4)
+    path = results.write_result(df, str(tmp_path), "geo_distribution")
+    lines = [line for part in sorted(glob.glob(f"{path}/part-*")) for line in open(part).read().splitlines()[1:]]
+    assert lines == ["a,z,9,2", "c,w,5,4", "a,x,3,3", "b,y,3,1"]
+    for name, keys in results.ORDERS.items():
+        columns = [c.split()[0] for c in results.RESULTS[name][1].split(", ")]
+        assert {k.split()[0] for k in keys} <= set(columns)
+    text = volume.geo_distribution(df.withColumn("user_id", F.lit("u")))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in text
