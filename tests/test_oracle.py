@@ -7,8 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from opinionlens.fixtures import catalog
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, entry.oracle_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE"}
 
 
@@ -46,5 +47,5 @@ def test_rows_only(spark, sf_dir, name):
 
 
 def test_entry_points(spark):
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
