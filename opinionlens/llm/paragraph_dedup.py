@@ -131,53 +131,64 @@ def _signatures(shingles: np.ndarray, begin: np.ndarray) -> tuple[list[np.ndarra
     return bands, sketch
 
 
-def _read(docs: DataFrame, bits: int) -> DataFrame:
-    """Paragraphs of all documents (``kind`` 0) and, packed by bucket, their bands (``kind`` 1)."""
+def _paragraphs(docs: DataFrame) -> DataFrame:
+    """``doc``, the class ``id``, ``start`` and ``end`` of all paragraphs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "doc", "id", "start", "end", "bucket", "blob"]
-        seen = np.zeros(0, np.int64)
         for batch in batches:
             owners = batch.column(0).to_numpy(zero_copy_only=False)
-            packed: list[tuple[np.ndarray, ...]] = []
             for low, high in slices(batch.column(1)):
                 content, offsets = utf8(batch.column(1).slice(low, high - low))
                 found = Paragraphs(content, offsets)
-                n = len(found.first)
-                if not n:
+                if len(found.first):
+                    base = offsets[found.row]
+                    columns = (owners[low:high][found.row], found.ids(), found.starts[found.first] - base, found.ends[found.last - 1] - base)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc", "id", "start", "end"])
+
+    return docs.mapInArrow(run, "doc bigint, id bigint, start bigint, end bigint")
+
+
+# What a bucket is sent of a class: the low half of a band's key, as the bucket tells enough
+# of the other, its id, sketch and number of shingles.
+_ENTRY = (np.uint32, np.int64, np.uint32, np.uint16)
+_ENTRY_BYTES = sum(np.dtype(kind).itemsize for kind in _ENTRY)
+
+
+def _entries(docs: DataFrame, bits: int) -> DataFrame:
+    """The bands of all classes, packed by bucket. A task sends a class once, as far as it remembers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)
+        for batch in batches:
+            packed: list[tuple[np.ndarray, ...]] = []
+            for low, high in slices(batch.column(1)):
+                found = Paragraphs(*utf8(batch.column(1).slice(low, high - low)))
+                if not len(found.first):
                     continue
-                ids = found.ids()
-                base = offsets[found.row]
-                none = pa.nulls(n, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(n, np.int8)), pa.array(owners[low:high][found.row]), pa.array(ids),
-                     pa.array(found.starts[found.first] - base), pa.array(found.ends[found.last - 1] - base),
-                     none, pa.nulls(n, pa.binary())], names)
-                # A class is sent once by a task, as far as it remembers.
-                _, once = np.unique(ids, return_index=True)
-                once = np.sort(once[~np.isin(ids[once], seen)])
+                ids, once = np.unique(found.ids(), return_index=True)
+                once = np.sort(once[~np.isin(ids, seen)])
                 if not len(once):
                     continue
-                seen = np.concatenate([seen[-500_000:], ids[once]])
                 found.first, found.last = found.first[once], found.last[once]
+                ids = found.ids()
+                seen = np.concatenate([seen[-500_000:], ids])
                 bands, sketch = _signatures(*found.shingles())
                 size = np.minimum(found.last - found.first - SHINGLE_WORDS + 1, 0xFFFF).astype(np.uint16)
-                for key in bands:
-                    packed.append((key, ids[once], sketch, size))
-            if packed:
-                key, ids, sketch, size = (np.concatenate(x) for x in zip(*packed))
-                order = np.argsort(key)
-                key, ids, sketch, size = key[order], ids[order], sketch[order], size[order]
-                bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
-                borders = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-                rows = [(int(bucket[i]), b"".join(x[i:j].tobytes() for x in (key, ids, sketch, size))) for i, j in zip(borders[:-1], borders[1:])]
-                for i in range(0, len(rows), 512):
-                    b, x = zip(*rows[i : i + 512])
-                    none = pa.nulls(len(b), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.ones(len(b), np.int8)), none, none, none, none, pa.array(b, pa.int64()), pa.array(x, pa.binary())], names)
-
-    return docs.mapInArrow(run, "kind tinyint, doc bigint, id bigint, start bigint, end bigint, bucket bigint, blob binary")
+                packed += [(key, ids, sketch, size) for key in bands]
+            if not packed:
+                continue
+            key, ids, sketch, size = (np.concatenate(x) for x in zip(*packed))
+            order = np.argsort(key)
+            key, ids, sketch, size = key[order], ids[order], sketch[order], size[order]
+            bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
+            borders = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+            columns = (key.astype(np.uint32), ids, sketch, size)
+            rows = [(int(bucket[i]), b"".join(x[i:j].tobytes() for x in columns)) for i, j in zip(borders[:-1], borders[1:])]
+            for i in range(0, len(rows), 512):
+                b, x = zip(*rows[i : i + 512])
+                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(x, pa.binary())], ["bucket", "blob"])
+
+    return docs.mapInArrow(run, "bucket bigint, blob binary")
 
 
 def _candidates(entries: DataFrame) -> DataFrame:
@@ -186,8 +197,8 @@ def _candidates(entries: DataFrame) -> DataFrame:
     def meet(table: pa.Table) -> pa.Table:
         parts: tuple[list, list, list, list] = ([], [], [], [])
         for blob in table["blob"].to_pylist():
-            n, at = len(blob) // 22, 0
-            for store_in, kind in zip(parts, (np.uint64, np.int64, np.uint32, np.uint16)):
+            n, at = len(blob) // _ENTRY_BYTES, 0
+            for store_in, kind in zip(parts, _ENTRY):
                 store_in.append(np.frombuffer(blob, kind, n, at))
                 at += n * np.dtype(kind).itemsize
         key, ids, sketch, size = map(np.concatenate, parts)
@@ -273,10 +284,8 @@ def remove_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text")
     (total,) = known.agg(F.sum(F.octet_length("text"))).first()
     # A paragraph of about 60 bytes has one entry in each band.
     bits = max(6, ((total or 0) * BANDS // 60 // ENTRIES_PER_BUCKET).bit_length())
-    read = store(_read(known, bits))
-    paragraphs = read.filter("kind = 0").select("doc", "id", "start", "end")
-    entries = read.filter("kind = 1").select("bucket", "blob")
-    roots = components(similar(paragraphs, entries, known))
+    paragraphs = store(_paragraphs(known))
+    roots = components(similar(paragraphs, _entries(known, bits), known))
     own = paragraphs.groupBy("id").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     rooted = own.join(roots, own["id"] == roots["node"], "left").select("id", "least", "most", F.coalesce("root", "id").alias("root"))
     spread = rooted.groupBy("root").agg(F.min("least").alias("kept_in"), F.max("most").alias("most")).filter("most > kept_in")

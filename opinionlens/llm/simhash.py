@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from opinionlens.llm.common import add_from_text, others, store
+from opinionlens.llm.common import add_from_text, store
 from opinionlens.llm.components import components
 
 SEED = 42
