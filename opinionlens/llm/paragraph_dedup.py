@@ -6,7 +6,7 @@ has ``MIN_WORDS`` words. A sentence that long ends a paragraph wherever the coun
 so the cuts inside a copied passage soon agree with those of its source.
 
 Equal paragraphs are one class from the start. Classes whose shingles have equal minima
-in one band are candidates; of many in one band only those with similar sketches are.
+in one band are candidates, unless small maps of their shingles prove them different.
 Candidates are checked by the exact Jaccard similarity of their shingles. Of a component
 of classes the paragraphs in its smallest document stay, all others are removed.
 """
@@ -29,10 +29,6 @@ SIMILARITY = 0.8
 # At similarity 0.8 a pair escapes all bands with probability (1 - 0.8 ** 2) ** 5 = 0.006.
 BANDS, ROWS = 5, 2
 ENTRIES_PER_BUCKET = 1 << 17
-# Beyond so many classes in one band, pairs are first compared by sketch: 16 minima of two
-# bits each. At similarity 0.8 fewer than 9 of them agree with probability 0.0003.
-CROWD, AGREEING = 16, 9
-
 _RNG = np.random.default_rng(21)
 
 
@@ -40,7 +36,7 @@ def _odd(n: int) -> np.ndarray:
     return _RNG.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-_LETTERS, _PLACES, _ORDER, _TURN = _odd(256), _odd(64), _odd(4096), _odd(BANDS * ROWS + 17)
+_LETTERS, _PLACES, _ORDER, _TURN = _odd(256), _odd(64), _odd(4096), _odd(BANDS * ROWS + 1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
@@ -108,8 +104,9 @@ class Paragraphs:
         return _mix(value)[at], begin
 
 
-def _signatures(shingles: np.ndarray, begin: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The key of each band, and the sketch."""
+def _signatures(shingles: np.ndarray, begin: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The key of each band, a map of the shingles in 64 bits, and the number of distinct ones."""
+
     def least(k: int) -> np.ndarray:
         turned = shingles * _TURN[k]
         turned ^= turned >> np.uint64(32)
@@ -121,14 +118,11 @@ def _signatures(shingles: np.ndarray, begin: np.ndarray) -> tuple[list[np.ndarra
         for r in range(ROWS):
             key = _mix(key * _TURN[r] + least(b * ROWS + r))
         bands.append(key)
-    sketch = np.zeros(len(begin), np.uint32)
-    # Sixteen more minima from two per hash: of its high and of its low half.
-    for k in range(8):
-        turned = _mix(shingles * _TURN[BANDS * ROWS + k])
-        for half, part in enumerate((turned >> np.uint64(32), turned & np.uint64(0xFFFFFFFF))):
-            bits = _mix(np.minimum.reduceat(part, begin)) & np.uint64(3)
-            sketch |= bits.astype(np.uint32) << np.uint32(2 * (2 * k + half))
-    return bands, sketch
+    bits = np.bitwise_or.reduceat(np.uint64(1) << (shingles >> np.uint64(58)), begin)
+    owner = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(shingles))))
+    order = np.lexsort((shingles, owner))
+    first = np.concatenate([[True], (shingles[order][1:] != shingles[order][:-1]) | (owner[order][1:] != owner[order][:-1])])
+    return bands, bits, np.bincount(owner[order][first], minlength=len(begin))
 
 
 def _paragraphs(docs: DataFrame) -> DataFrame:
@@ -149,8 +143,9 @@ def _paragraphs(docs: DataFrame) -> DataFrame:
 
 
 # What a bucket is sent of a class: the low half of a band's key, as the bucket tells enough
-# of the other, its id, sketch and number of shingles.
-_ENTRY = (np.uint32, np.int64, np.uint32, np.uint16)
+# of the other, its id, and the map and number of its shingles.
+_ENTRY = (np.uint32, np.int64, np.uint64, np.uint16)
+_MANY = 0xFFFF  # stands for this number of shingles or more
 _ENTRY_BYTES = sum(np.dtype(kind).itemsize for kind in _ENTRY)
 
 
@@ -172,17 +167,17 @@ def _entries(docs: DataFrame, bits: int) -> DataFrame:
                 found.first, found.last = found.first[once], found.last[once]
                 ids = found.ids()
                 seen = np.concatenate([seen[-500_000:], ids])
-                bands, sketch = _signatures(*found.shingles())
-                size = np.minimum(found.last - found.first - SHINGLE_WORDS + 1, 0xFFFF).astype(np.uint16)
-                packed += [(key, ids, sketch, size) for key in bands]
+                bands, bits_of, size = _signatures(*found.shingles())
+                size = np.minimum(size, _MANY).astype(np.uint16)
+                packed += [(key, ids, bits_of, size) for key in bands]
             if not packed:
                 continue
-            key, ids, sketch, size = (np.concatenate(x) for x in zip(*packed))
+            key, ids, bits_of, size = (np.concatenate(x) for x in zip(*packed))
             order = np.argsort(key)
-            key, ids, sketch, size = key[order], ids[order], sketch[order], size[order]
+            key, ids, bits_of, size = key[order], ids[order], bits_of[order], size[order]
             bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
             borders = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            columns = (key.astype(np.uint32), ids, sketch, size)
+            columns = (key.astype(np.uint32), ids, bits_of, size)
             rows = [(int(bucket[i]), b"".join(x[i:j].tobytes() for x in columns)) for i, j in zip(borders[:-1], borders[1:])]
             for i in range(0, len(rows), 512):
                 b, x = zip(*rows[i : i + 512])
@@ -192,7 +187,11 @@ def _entries(docs: DataFrame, bits: int) -> DataFrame:
 
 
 def _candidates(entries: DataFrame) -> DataFrame:
-    """Pairs of classes that meet in a band and may be similar by size and, in a crowd, by sketch."""
+    """Pairs of classes that meet in a band and may be similar by the maps of their shingles.
+
+    A bit that only one of two maps has is a shingle that the other class lacks. This bounds
+    what they share from above, so no similar pair is turned away.
+    """
 
     def meet(table: pa.Table) -> pa.Table:
         parts: tuple[list, list, list, list] = ([], [], [], [])
@@ -201,26 +200,23 @@ def _candidates(entries: DataFrame) -> DataFrame:
             for store_in, kind in zip(parts, _ENTRY):
                 store_in.append(np.frombuffer(blob, kind, n, at))
                 at += n * np.dtype(kind).itemsize
-        key, ids, sketch, size = map(np.concatenate, parts)
+        key, ids, bits, size = map(np.concatenate, parts)
         order = np.lexsort((ids, key))
-        key, ids, sketch, size = key[order], ids[order], sketch[order], size[order]
+        key, ids, bits, size = key[order], ids[order], bits[order], size[order]
         fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])])
-        key, ids, sketch, size = key[fresh], ids[fresh], sketch[fresh], size[fresh].astype(np.int64)
+        key, ids, bits, size = key[fresh], ids[fresh], bits[fresh], size[fresh].astype(np.int64)
         borders = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+        crowds = np.flatnonzero(np.diff(borders) > 1)
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i, j in zip(borders[:-1].tolist(), borders[1:].tolist()):
-            if j - i < 2:
-                continue
+        for i, j in zip(borders[crowds].tolist(), borders[crowds + 1].tolist()):
             for a in range(i, j - 1):
-                b = np.arange(a + 1, j)
-                fits = np.minimum(size[a], size[b]) >= SIMILARITY * np.maximum(size[a], size[b]) - 1e-9
-                fits |= np.maximum(size[a], size[b]) == 0xFFFF
-                if j - i > CROWD:
-                    differ = sketch[a] ^ sketch[b]
-                    fits &= 16 - np.bitwise_count((differ | differ >> np.uint32(1)) & np.uint32(0x55555555)) >= AGREEING
-                b = b[fits]
-                left.append(np.full(len(b), ids[a]))
-                right.append(ids[b])
+                b = slice(a + 1, j)
+                mine = size[a] - np.bitwise_count(bits[a] & ~bits[b]).astype(np.int64)
+                theirs = size[b] - np.bitwise_count(bits[b] & ~bits[a]).astype(np.int64)
+                fits = np.minimum(mine, theirs) * (1 + SIMILARITY) >= SIMILARITY * (size[a] + size[b]) - 1e-9
+                fits |= np.maximum(size[a], size[b]) == _MANY
+                left.append(np.full(int(fits.sum()), ids[a]))
+                right.append(ids[b][fits])
         return pa.table({"a": pa.array(np.concatenate(left)), "b": pa.array(np.concatenate(right))})
 
     return entries.groupBy("bucket").applyInArrow(meet, "a bigint, b bigint")
