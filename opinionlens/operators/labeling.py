@@ -20,10 +20,6 @@ PredictBatch = Callable[[list[str]], list[str]]
 # Errors of a model that is away for the moment. Any other one is a fault and stops the job.
 RETRYABLE: tuple[type[Exception], ...] = (OSError,)
 
-
-class ModelUnavailable(OSError):
-    """No replies, or not as many as there were prompts."""
-
 PROMPT = """Decide which side the author of a social post supports.
 
 Reply with a single character:
@@ -99,9 +95,9 @@ def model_answers(
             try:
                 replies = list(predict_batch(prompts))
                 if len(replies) != len(prompts):
-                    raise ModelUnavailable(f"{len(replies)} replies to {len(prompts)} prompts")
+                    raise ConnectionError(f"{len(replies)} replies to {len(prompts)} prompts")
                 return replies
-            except (*retryable, ModelUnavailable):
+            except (*retryable, ConnectionError):
                 if attempt < retries:
                     time.sleep(backoff * attempt)
                 elif not give_up:
