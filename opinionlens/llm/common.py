@@ -28,6 +28,17 @@ def store(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold fewer rows, unless the session has a number of its own.
+
+    Spark fills a batch by rows, whatever their texts hold; ten thousand texts of a web
+    page each do not fit beside each other in a small executor.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts of a column in one array, and n + 1 offsets. Null is empty."""
     column = pc.fill_null(column, "") if column.null_count else column
@@ -72,6 +83,7 @@ def add_from_text(
     ``factory`` is called once in each task and returns a function from the texts of a
     slice to the new columns. An input column called like a new one is replaced.
     """
+    small_batches(df.sparkSession)
     kept = others(df, [f.name for f in fields])
     schema = StructType([StructField(f.name, f.dataType) for f in [*df.select(*kept).schema, *fields]])
     wanted = df.select(*kept, df[text].cast("string").alias("__text"))

@@ -20,19 +20,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField
 
 from opinionlens.llm.common import add_from_text, others
 from opinionlens.llm.pieces import NO_PIECE, PieceModel, pre_tokens, read_model
 
 # Pre-tokens whose ids a task remembers, and pairs of tokens whose merge it has tried.
-CACHE_SIZE = 400_000
-PAIR_CACHE_SIZE = 1_000_000
-# Bytes of text that share a suffix array, and ids that are spelt at once.
-SLICE = 8 << 20
-_IDS_AT_ONCE = 1 << 20
+CACHE_SIZE = 100_000
+PAIR_CACHE_SIZE = 250_000
 
 _UNREACHED = -2
 _BORDER = 0x110000  # no code point: separates the pre-tokens
@@ -285,28 +282,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
 
         return compute
 
-    return add_from_text(docs, [StructField(ids, ArrayType(IntegerType()))], factory, text, SLICE)
-
-
-class Speller:
-    """Texts of many id lists at once."""
-
-    def __init__(self, model: bytes):
-        contents = [*PieceModel(model).contents, b""]  # the last one stands for ids outside
-        self.sizes = np.array([len(c) for c in contents])
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.content = np.frombuffer(b"".join(contents), np.uint8)
-
-    def spell(self, lists: pa.ListArray) -> pa.Array:
-        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        ids = pc.fill_null(pc.list_flatten(lists), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = np.where((ids >= 0) & (ids < len(self.sizes) - 1), ids, len(self.sizes) - 1)
-        sizes = self.sizes[ids]
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        joined = self.content[np.arange(total[-1]) + np.repeat(self.starts[ids] - total[:-1], sizes)].tobytes()
-        ends = total[np.cumsum(counts)].tolist()
-        texts = [joined[a:b].removeprefix(b" ").decode("utf-8", "replace") for a, b in zip([0, *ends], ends)]
-        return pa.array(texts, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
+    return add_from_text(docs, [StructField(ids, ArrayType(IntegerType()))], factory, text)
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -315,25 +291,11 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "ids", text: str = "d
     The ``▁`` put before the text at encoding is taken off; a ``▁`` inside it becomes a
     space, as in the library. Null ids give null, an empty list an empty text. Ids outside
     the vocabulary and null elements spell nothing; a column called ``text`` is replaced.
+    Native expressions: the vocabulary is one literal, looked up by position.
     """
-    shipped = encoded.sparkSession.sparkContext.broadcast(read_model(model_path))
-    kept = others(encoded, [text])
-    at = [c.lower() for c in kept].index(ids.lower())
-    schema = StructType([StructField(f.name, f.dataType) for f in encoded.select(*kept).schema])
-    schema = schema.add(text, StringType())
-
-    def run(batches):
-        speller = Speller(shipped.value)
-        for batch in batches:
-            counts = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-            sizes = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-            start = 0
-            while start < len(counts):
-                end = int(np.searchsorted(sizes, sizes[start] + _IDS_AT_ONCE, "right")) - 1
-                end = min(max(end, start + 1), len(counts))
-                part = batch.slice(start, end - start)
-                spelt = speller.spell(part.column(at))
-                yield pa.RecordBatch.from_arrays([*part.columns, spelt], names=schema.names)
-                start = end
-
-    return encoded.select(*kept).mapInArrow(run, schema)
+    contents = PieceModel(read_model(model_path)).contents
+    pieces = F.split(F.lit(",".join(c.hex() for c in contents)), ",", -1)
+    spelt = F.array_join(F.transform(F.col(ids), lambda i: F.coalesce(F.get(pieces, i), F.lit(""))), "")
+    whole = F.make_valid_utf8(F.unhex(spelt).cast("string"))
+    kept = encoded.select(*others(encoded, [text]), whole.alias(text))
+    return kept.withColumn(text, F.when(F.col(text).startswith(" "), F.substring(text, 2, F.length(text))).otherwise(F.col(text)))
