@@ -54,7 +54,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.judge(store(quality.add_statistics(docs)))
+    return quality.judge(store(quality.add_statistics(docs).drop("text")))
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
