@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinionlens.llm.common import slices, store, utf8
+from opinionlens.llm.common import slices, small_batches, store, utf8
 from opinionlens.llm.components import components
 
 MIN_WORDS = 8
@@ -186,12 +186,27 @@ def _entries(docs: DataFrame, bits: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket bigint, blob binary")
 
 
-def _candidates(entries: DataFrame) -> DataFrame:
-    """Pairs of classes that meet in a band and may be similar by the maps of their shingles.
+def _fits(bits: np.ndarray, size: np.ndarray, a: int, b: slice) -> np.ndarray:
+    """Which of the classes ``b`` may be similar to ``a``, by the maps of their shingles.
 
     A bit that only one of two maps has is a shingle that the other class lacks. This bounds
     what they share from above, so no similar pair is turned away.
     """
+    mine = size[a] - np.bitwise_count(bits[a] & ~bits[b]).astype(np.int64)
+    theirs = size[b] - np.bitwise_count(bits[b] & ~bits[a]).astype(np.int64)
+    fits = np.minimum(mine, theirs) * (1 + SIMILARITY) >= SIMILARITY * (size[a] + size[b]) - 1e-9
+    return fits | (np.maximum(size[a], size[b]) == _MANY)
+
+
+_CROWD = "crowd bigint, members array<bigint>, maps binary, sizes binary"
+
+
+def _candidates(entries: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of classes that meet in a band and may be similar, and crowds.
+
+    Of the classes in one band only a forest of such pairs is given. If there are more, the
+    classes are given once more as a crowd, from which the other pairs can be found again.
+    """
 
     def meet(table: pa.Table) -> pa.Table:
         parts: tuple[list, list, list, list] = ([], [], [], [])
@@ -206,20 +221,64 @@ def _candidates(entries: DataFrame) -> DataFrame:
         fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])])
         key, ids, bits, size = key[fresh], ids[fresh], bits[fresh], size[fresh].astype(np.int64)
         borders = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-        crowds = np.flatnonzero(np.diff(borders) > 1)
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i, j in zip(borders[crowds].tolist(), borders[crowds + 1].tolist()):
+        several = np.flatnonzero(np.diff(borders) > 1)
+        bucket = table["bucket"][0].as_py()
+        left, right, crowds = [], [], []
+        for i, j in zip(borders[several].tolist(), borders[several + 1].tolist()):
+            tree, found, planted = np.arange(i, j), np.zeros(j - i, bool), 0
+            total = 0
             for a in range(i, j - 1):
-                b = slice(a + 1, j)
-                mine = size[a] - np.bitwise_count(bits[a] & ~bits[b]).astype(np.int64)
-                theirs = size[b] - np.bitwise_count(bits[b] & ~bits[a]).astype(np.int64)
-                fits = np.minimum(mine, theirs) * (1 + SIMILARITY) >= SIMILARITY * (size[a] + size[b]) - 1e-9
-                fits |= np.maximum(size[a], size[b]) == _MANY
-                left.append(np.full(int(fits.sum()), ids[a]))
-                right.append(ids[b][fits])
-        return pa.table({"a": pa.array(np.concatenate(left)), "b": pa.array(np.concatenate(right))})
+                b = np.flatnonzero(_fits(bits, size, a, slice(a + 1, j))) + a + 1
+                if not len(b):
+                    continue
+                total += len(b)
+                found[a - i], found[b - i] = True, True
+                others, first = np.unique(tree[b - i], return_index=True)
+                first, others = first[others != tree[a - i]], others[others != tree[a - i]]
+                left += [int(ids[a])] * len(first)
+                right += ids[b[first]].tolist()
+                planted += len(first)
+                tree[np.isin(tree, others)] = tree[a - i]
+            if total > planted:
+                at = np.flatnonzero(found) + i
+                crowds.append((bucket << 32 | int(key[i]), ids[at].tolist(), bits[at].tobytes(), size[at].tobytes()))
+        none = [None] * len(crowds)
+        crowd, members, maps, sizes = zip(*crowds) if crowds else ((), (), (), ())
+        pairs = [None] * len(left)
+        return pa.table(
+            {
+                "a": pa.array([*left, *none], pa.int64()),
+                "b": pa.array([*right, *none], pa.int64()),
+                "crowd": pa.array([*pairs, *crowd], pa.int64()),
+                "members": pa.array([*pairs, *members], pa.list_(pa.int64())),
+                "maps": pa.array([*pairs, *maps], pa.binary()),
+                "sizes": pa.array([*pairs, *sizes], pa.binary()),
+            }
+        )
+
+    return entries.groupBy("bucket").applyInArrow(meet, f"a bigint, b bigint, {_CROWD}")
+
+
+def _left_over(crowds: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs of the crowds that may be similar and are in different components so far."""
+    one = crowds.select("crowd", F.posexplode("members").alias("at", "id"))
+    rooted = one.join(roots, one["id"] == roots["node"], "left").select("crowd", "at", F.coalesce("root", "id").alias("root"))
+    known = rooted.groupBy("crowd").agg(F.array_sort(F.collect_list(F.struct("at", "root"))).alias("roots"))
+    # A crowd of one component has nothing left to find.
+    apart = known.filter(F.size(F.array_distinct("roots.root")) > 1).select("crowd", F.col("roots.root").alias("roots"))
 
-    return entries.groupBy("bucket").applyInArrow(meet, "a bigint, b bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, maps, sizes, roots in zip(*[batch.column(k).to_pylist() for k in range(4)]):
+                ids, root = np.array(ids), np.array(roots)
+                bits, size = np.frombuffer(maps, np.uint64), np.frombuffer(sizes, np.int64)
+                for a in range(len(ids) - 1):
+                    later = slice(a + 1, len(ids))
+                    b = np.flatnonzero(_fits(bits, size, a, later) & (root[later] != root[a])) + a + 1
+                    if len(b):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(b), ids[a])), pa.array(ids[b])], ["a", "b"])
+
+    return crowds.join(apart, "crowd").select("members", "maps", "sizes", "roots").mapInArrow(run, "a bigint, b bigint")
 
 
 def _contents(rows: DataFrame) -> DataFrame:
@@ -249,9 +308,8 @@ def _contents(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id bigint, shingles array<bigint>")
 
 
-def similar(paragraphs: DataFrame, entries: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links ``a``, ``b`` between classes whose shingles have at least the Jaccard similarity."""
-    pairs = store(_candidates(entries).distinct())
+def _checked(pairs: DataFrame, paragraphs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose shingles have at least the Jaccard similarity."""
     ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     # The text of a class is taken from its smallest document.
     places = paragraphs.join(ends, "id", "left_semi").groupBy("id").agg(F.min("doc").alias("doc"))
@@ -266,6 +324,19 @@ def similar(paragraphs: DataFrame, entries: DataFrame, docs: DataFrame, similari
     return met.filter(both >= similarity * (F.size("of_a") + F.size("of_b") - both) - 1e-9).select("a", "b")
 
 
+def similar(paragraphs: DataFrame, entries: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``node`` and ``root`` of the components of classes with at least the Jaccard similarity.
+
+    First a forest of the candidates of each band is checked. What it leaves in different
+    components is checked pair by pair; most of a crowd of near copies is one by then.
+    """
+    found = store(_candidates(entries))
+    links = store(_checked(store(found.filter("a is not null").select("a", "b").distinct()), paragraphs, docs, similarity))
+    crowds = found.filter("crowd is not null").select(*[c.split()[0] for c in _CROWD.split(", ")])
+    left = store(_left_over(crowds, components(links)).distinct())
+    return components(links.unionAll(_checked(left, paragraphs, docs, similarity)))
+
+
 def remove_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: its key, ``n_paragraphs``, ``n_removed`` and ``removed``.
 
@@ -275,13 +346,14 @@ def remove_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text")
     a document stay. Null texts are empty. Rows with equal keys are one document; rows with
     a null key lose nothing, take nothing from others and have no paragraphs counted.
     """
+    small_batches(docs.sparkSession)
     body = docs.select(F.col(key).cast("bigint").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     known = body.filter("doc is not null")
     (total,) = known.agg(F.sum(F.octet_length("text"))).first()
     # A paragraph of about 60 bytes has one entry in each band.
     bits = max(6, ((total or 0) * BANDS // 60 // ENTRIES_PER_BUCKET).bit_length())
     paragraphs = store(_paragraphs(known))
-    roots = components(similar(paragraphs, _entries(known, bits), known))
+    roots = similar(paragraphs, _entries(known, bits), known)
     own = paragraphs.groupBy("id").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     rooted = own.join(roots, own["id"] == roots["node"], "left").select("id", "least", "most", F.coalesce("root", "id").alias("root"))
     spread = rooted.groupBy("root").agg(F.min("least").alias("kept_in"), F.max("most").alias("most")).filter("most > kept_in")

@@ -133,6 +133,24 @@ def test_paragraphs(docs, rows):
     assert not found[None]["removed"]
 
 
+def test_crowds_of_similar_paragraphs(spark):
+    """Variants that are similar to one original only: what the forest misses is found from the crowd."""
+    words = [f"w{i}" for i in range(70)]
+    table = []
+    for i in range(40):
+        own = list(words)
+        own[5 + (i * 13) % 60] = f"changed{i}"
+        table.append((i, " ".join(own)))
+    table += [(100, " ".join(words)), (101, " ".join(words[:35])), (102, "other " * 9)]
+    df = spark.createDataFrame(table, "doc_id bigint, text string")
+    found = {r["doc_id"]: [x["kept_in"] for x in r["removed"]] for r in paragraph_dedup.remove_paragraphs(df).collect()}
+    texts = [tuple(t.split()) for _, t in table]
+    links = [(i, j) for i in range(len(table)) for j in range(i) if brute.jaccard(texts[i], texts[j]) >= 0.8]
+    root = brute.components(len(table), links)
+    assert len(links) < 200 and root[40] == 0
+    assert found == {d: [] if root[i] == i else [table[root[i]][0]] for i, (d, _) in enumerate(table)}
+
+
 def test_quality(docs, rows):
     judged = quality.judge(quality.add_statistics(docs))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
