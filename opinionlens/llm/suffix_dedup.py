@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinionlens.llm.common import slices, store, utf8
+from opinionlens.llm.common import slices, small_batches, store, utf8
 
 LENGTH = 50
 GRAM = 20
 ENTRIES_PER_BUCKET = 1 << 17  # stretches that a task compares at once
-FLUSH = 2_000_000  # stretches that a task gathers before it sends them
+FLUSH = 1_000_000  # stretches that a task gathers before it sends them
 WINDOWS_PER_RANGE = 400_000
 SAMPLE_DOCS = 1000  # documents from which splitters are drawn
 SPAN = LENGTH - GRAM + 1  # grams in a window, and windows in a stretch at most
@@ -208,10 +208,11 @@ def _stretch_entries(docs: DataFrame, bits: int) -> DataFrame:
             new_doc = new_class | np.concatenate([[True], doc[1:] != doc[:-1]])
             settled = new_doc & ~new_class
             rows = []
-            bucket = (gram >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(gram), np.int64)
-            for mark, chosen in ((False, new_class), (True, settled)):
+            # What is settled goes by document, so that repeats of one stretch do not meet again.
+            for mark, chosen, value in ((False, new_class, gram), (True, settled, doc.view(np.uint64) * hashes.odd[1])):
                 at = np.flatnonzero(chosen)
-                own = bucket[at]
+                own = (value[at] >> np.uint64(64 - bits)).astype(np.int64)
+                at, own = at[np.argsort(own, kind="stable")], np.sort(own)
                 borders = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1, [len(own)]]) if len(own) else [0]
                 for i, j in zip(borders[:-1], borders[1:]):
                     part = at[i:j]
@@ -475,6 +476,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     character in two. Rows with equal keys are one document: they never remove from each
     other. A row with a null key loses nothing and takes nothing from others.
     """
+    small_batches(docs.sparkSession)
     body = docs.select(F.col(key).cast("bigint").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows, total = body.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     # About two anchors in a window's grams: stretches are expected at this rate.
