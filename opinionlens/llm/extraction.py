@@ -36,8 +36,10 @@ PAGES_AT_ONCE = 128
 
 # Elements whose content is never text of a page.
 HIDDEN_ELEMENTS = frozenset(
-    "head script style noscript template iframe object svg math canvas form button select textarea option".split()
+    "head script style noscript template iframe object svg canvas form select textarea option".split()
 )
+# What may stand in a head. Anything else, text as well, ends a head that is still open.
+HEAD_ELEMENTS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 RAW_ELEMENTS = ("script", "style", "noscript", "template", "iframe", "textarea", "title")
 BLOCK_ELEMENTS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer h1 h2 h3"
@@ -86,6 +88,8 @@ def read_blocks(html: str) -> Iterator[tuple[tuple[str, ...], str]]:
     while at <= size:
         found = _MARKUP.search(html, at)
         piece = html[at : found.start() if found else size]
+        if stack[-1][0] == "head" and entities.unescape(piece).strip():
+            close(len(stack) - 1)
         if piece and not stack[-1][2]:
             text.append(piece)
         if not found:
@@ -95,6 +99,14 @@ def read_blocks(html: str) -> Iterator[tuple[tuple[str, ...], str]]:
         if not name:
             continue
         block, ending = name in BLOCK_ELEMENTS, bool(found[1])
+        if not ending and stack[-1][0] == "head":
+            if name == "title":
+                end = re.compile(r"</title\b", re.I).search(html, at)
+                at = end.start() if end else size
+            elif name not in HEAD_ELEMENTS:
+                close(len(stack) - 1)
+        if name == "head" and not ending and stack[-1][0] not in ("", "html"):
+            continue
         if name == "br" or not block and name not in HIDDEN_ELEMENTS:
             if name in ("br", "wbr") or name == "img":
                 text.append(" ")

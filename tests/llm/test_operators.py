@@ -451,6 +451,22 @@ def test_blocks():
     ]
 
 
+@pytest.mark.parametrize(
+    "html, texts",
+    [
+        ("<html><head><title>t</title><meta charset=x><body><p>one</p></body></html>", ["one"]),
+        ("<head><title>t</title><script>s</script><style>c</style>\n<p>one<p>two", ["one", "two"]),
+        ("<head><title>t</title><a href=x>one</a> two<p>three", ["one two", "three"]),
+        ("<head><title>t</title> one &amp; two<div>three</div>", ["one & two", "three"]),
+        ("<head><head><title>t</title><body>one", ["one"]),
+        ("<head><title>t</title>\n&#10;</head><body>one</body>", ["one"]),
+        ("<article>one <math><mi>x</mi></math> <button>two</button></article><form><button>no</button></form>", ["one x two"]),
+    ],
+)
+def test_open_heads_and_shown_elements(html, texts):
+    assert [text for _, text in extraction.read_blocks(html)] == texts
+
+
 @pytest.mark.parametrize(
     "apply",
     [
