@@ -37,6 +37,9 @@ def _odd(n: int) -> np.ndarray:
 
 
 _LETTERS, _PLACES, _ORDER, _TURN = _odd(256), _odd(64), _odd(4096), _odd(BANDS * ROWS + 1)
+# Only paragraphs of one kind are compared.
+PIECE, LINE = 0, 1
+_KINDS = np.concatenate([[np.uint64(0)], _odd(2)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
@@ -51,7 +54,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Paragraphs:
     """Paragraphs of a slice of texts: byte ranges, rows, word ranges and hashes."""
 
-    def __init__(self, content: np.ndarray, offsets: np.ndarray):
+    def __init__(self, content: np.ndarray, offsets: np.ndarray, whole: bool = False):
         space = _SPACE[content]
         edge = np.zeros(len(content) + 1, bool)
         edge[offsets] = True
@@ -59,7 +62,7 @@ class Paragraphs:
         starts = np.flatnonzero(inside & (np.concatenate([[True], space[:-1]]) | edge[:-1])) if len(content) else np.zeros(0, np.int64)
         ends = np.flatnonzero(inside & (np.concatenate([space[1:], [True]]) | edge[1:])) + 1 if len(content) else starts
         self.starts, self.ends, n = starts, ends, len(starts)
-        self.first = self.last = self.row = np.zeros(0, np.int64)
+        self.first = self.last = self.row = self.kind = self.line = np.zeros(0, np.int64)
         if not n:
             return
         row = np.searchsorted(offsets, starts, "right") - 1
@@ -76,6 +79,17 @@ class Paragraphs:
         first = np.concatenate([[0], last[:-1]])
         long_enough = last - first >= MIN_WORDS
         self.first, self.last = first[long_enough], last[long_enough]
+        self.kind = self.line = np.zeros(len(self.first), np.int64)
+        if whole:
+            line_last = np.flatnonzero(line_end) + 1
+            line_first = np.concatenate([[0], line_last[:-1]])
+            line_of = np.cumsum(line_end) - line_end
+            long_line = line_last - line_first >= MIN_WORDS
+            pieces, lines = len(self.first), long_line.sum()
+            self.first = np.concatenate([line_first[long_line], self.first])
+            self.last = np.concatenate([line_last[long_line], self.last])
+            self.kind = np.repeat([LINE, PIECE], [lines, pieces])
+            self.line = line_first[line_of[self.first]]
         self.row = row[self.first]
         # Word hashes over lower-cased letters.
         place = np.arange(len(content)) - np.repeat(starts, np.diff(np.append(starts, len(content)))) if starts[0] == 0 else None
@@ -84,13 +98,18 @@ class Paragraphs:
         value = np.where(space, np.uint64(0), _LETTERS[_LOWER[content]] * _PLACES[place & 63])
         self.words = _mix(np.add.reduceat(value, starts) + (ends - starts).astype(np.uint64))
 
+    def only(self, chosen: np.ndarray) -> None:
+        """Leave out all other paragraphs."""
+        self.first, self.last, self.row = self.first[chosen], self.last[chosen], self.row[chosen]
+        self.kind, self.line = self.kind[chosen], self.line[chosen]
+
     def ids(self) -> np.ndarray:
-        """A hash of each paragraph's words, in order."""
+        """A hash of each paragraph's words, in order, and of its kind."""
         sizes = self.last - self.first
         at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         word = np.repeat(self.first, sizes) + at
         weighed = _mix(self.words[word] * _ORDER[at & 4095] + (at >> 12).astype(np.uint64))
-        return _mix(np.add.reduceat(weighed, np.cumsum(sizes) - sizes) + sizes.astype(np.uint64)).astype(np.int64)
+        return _mix(np.add.reduceat(weighed, np.cumsum(sizes) - sizes) + sizes.astype(np.uint64) + _KINDS[self.kind]).astype(np.int64)
 
     def shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all shingles of the paragraphs, one after the other, and where each starts."""
@@ -101,7 +120,7 @@ class Paragraphs:
         sizes = self.last - self.first - SHINGLE_WORDS + 1
         begin = np.cumsum(sizes) - sizes
         at = np.repeat(self.first - begin, sizes) + np.arange(sizes.sum())
-        return _mix(value)[at], begin
+        return _mix(value[at] + np.repeat(_KINDS[self.kind], sizes)), begin
 
 
 def _signatures(shingles: np.ndarray, begin: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -125,21 +144,28 @@ def _signatures(shingles: np.ndarray, begin: np.ndarray) -> tuple[list[np.ndarra
     return bands, bits, np.bincount(owner[order][first], minlength=len(begin))
 
 
-def _paragraphs(docs: DataFrame) -> DataFrame:
-    """``doc``, the class ``id``, ``start`` and ``end`` of all paragraphs."""
+_PLACE = "doc bigint, id bigint, start bigint, end bigint, line bigint"
+
+
+def _paragraphs(docs: DataFrame, whole: bool) -> DataFrame:
+    """``doc``, the class ``id``, ``start`` and ``end`` of all paragraphs.
+
+    ``line`` is where the line of a piece starts, and -1 for a whole line.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owners = batch.column(0).to_numpy(zero_copy_only=False)
             for low, high in slices(batch.column(1)):
                 content, offsets = utf8(batch.column(1).slice(low, high - low))
-                found = Paragraphs(content, offsets)
+                found = Paragraphs(content, offsets, whole)
                 if len(found.first):
                     base = offsets[found.row]
-                    columns = (owners[low:high][found.row], found.ids(), found.starts[found.first] - base, found.ends[found.last - 1] - base)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc", "id", "start", "end"])
+                    line = np.where(found.kind == LINE, -1, found.starts[found.line] - base if whole else 0)
+                    columns = (owners[low:high][found.row], found.ids(), found.starts[found.first] - base, found.ends[found.last - 1] - base, line)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc", "id", "start", "end", "line"])
 
-    return docs.mapInArrow(run, "doc bigint, id bigint, start bigint, end bigint")
+    return docs.mapInArrow(run, _PLACE)
 
 
 # What a bucket is sent of a class: the low half of a band's key, as the bucket tells enough
@@ -149,22 +175,27 @@ _MANY = 0xFFFF  # stands for this number of shingles or more
 _ENTRY_BYTES = sum(np.dtype(kind).itemsize for kind in _ENTRY)
 
 
-def _entries(docs: DataFrame, bits: int) -> DataFrame:
-    """The bands of all classes, packed by bucket. A task sends a class once, as far as it remembers."""
+def _entries(docs: DataFrame, bits: int, whole: bool) -> DataFrame:
+    """The bands of all classes, packed by bucket. A task sends a class once, as far as it remembers.
+
+    Fewer words than a shingle has are one shingle, which only the same words share: such
+    classes have none but themselves to meet.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
         for batch in batches:
             packed: list[tuple[np.ndarray, ...]] = []
             for low, high in slices(batch.column(1)):
-                found = Paragraphs(*utf8(batch.column(1).slice(low, high - low)))
+                found = Paragraphs(*utf8(batch.column(1).slice(low, high - low)), whole)
+                found.only(found.last - found.first >= SHINGLE_WORDS)
                 if not len(found.first):
                     continue
                 ids, once = np.unique(found.ids(), return_index=True)
                 once = np.sort(once[~np.isin(ids, seen)])
                 if not len(once):
                     continue
-                found.first, found.last = found.first[once], found.last[once]
+                found.only(once)
                 ids = found.ids()
                 seen = np.concatenate([seen[-500_000:], ids])
                 bands, bits_of, size = _signatures(*found.shingles())
@@ -281,14 +312,14 @@ def _left_over(crowds: DataFrame, roots: DataFrame) -> DataFrame:
     return crowds.join(apart, "crowd").select("members", "maps", "sizes", "roots").mapInArrow(run, "a bigint, b bigint")
 
 
-def _contents(rows: DataFrame) -> DataFrame:
+def _contents(rows: DataFrame, whole: bool) -> DataFrame:
     """Sorted distinct shingles of wanted paragraphs: ``doc``, ``text`` and ``ids`` to ``id``, ``shingles``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high in slices(batch.column(0)):
                 content, offsets = utf8(batch.column(0).slice(low, high - low))
-                found = Paragraphs(content, offsets)
+                found = Paragraphs(content, offsets, whole)
                 if not len(found.first):
                     continue
                 ids = found.ids()
@@ -300,7 +331,7 @@ def _contents(rows: DataFrame) -> DataFrame:
                 once = np.sort(once[np.isin(own[once], asked)])
                 if not len(once):
                     continue
-                found.first, found.last = found.first[once], found.last[once]
+                found.only(once)
                 shingles, begin = found.shingles()
                 lists = [np.unique(shingles[i:j]).astype(np.int64) for i, j in zip(begin, [*begin[1:], len(shingles)])]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[once]), pa.array(lists, pa.list_(pa.int64()))], ["id", "shingles"])
@@ -308,13 +339,13 @@ def _contents(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id bigint, shingles array<bigint>")
 
 
-def _checked(pairs: DataFrame, paragraphs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+def _checked(pairs: DataFrame, paragraphs: DataFrame, docs: DataFrame, similarity: float, whole: bool) -> DataFrame:
     """The pairs whose shingles have at least the Jaccard similarity."""
     ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     # The text of a class is taken from its smallest document.
     places = paragraphs.join(ends, "id", "left_semi").groupBy("id").agg(F.min("doc").alias("doc"))
     asked = places.groupBy("doc").agg(F.collect_set("id").alias("ids"))
-    contents = store(_contents(docs.join(asked, "doc").select("text", "ids")).dropDuplicates(["id"]))
+    contents = store(_contents(docs.join(asked, "doc").select("text", "ids"), whole).dropDuplicates(["id"]))
 
     def named(side: str) -> DataFrame:
         return contents.select(F.col("id").alias(side), F.col("shingles").alias(f"of_{side}"))
@@ -324,27 +355,65 @@ def _checked(pairs: DataFrame, paragraphs: DataFrame, docs: DataFrame, similarit
     return met.filter(both >= similarity * (F.size("of_a") + F.size("of_b") - both) - 1e-9).select("a", "b")
 
 
-def similar(paragraphs: DataFrame, entries: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def similar(paragraphs: DataFrame, entries: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, whole: bool = False) -> DataFrame:
     """``node`` and ``root`` of the components of classes with at least the Jaccard similarity.
 
     First a forest of the candidates of each band is checked. What it leaves in different
     components is checked pair by pair; most of a crowd of near copies is one by then.
     """
     found = store(_candidates(entries))
-    links = store(_checked(store(found.filter("a is not null").select("a", "b").distinct()), paragraphs, docs, similarity))
+    links = store(_checked(store(found.filter("a is not null").select("a", "b").distinct()), paragraphs, docs, similarity, whole))
     crowds = found.filter("crowd is not null").select(*[c.split()[0] for c in _CROWD.split(", ")])
     left = store(_left_over(crowds, components(links)).distinct())
-    return components(links.unionAll(_checked(left, paragraphs, docs, similarity)))
+    return components(links.unionAll(_checked(left, paragraphs, docs, similarity, whole)))
+
 
+def _gone(places: DataFrame, roots: DataFrame) -> DataFrame:
+    """``doc``, ``start``, ``end`` and ``kept_in`` of all places but those in the smallest document of a component."""
+    own = places.groupBy("id").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    rooted = own.join(roots, own["id"] == roots["node"], "left").select("id", "least", "most", F.coalesce("root", "id").alias("root"))
+    spread = rooted.groupBy("root").agg(F.min("least").alias("kept_in"), F.max("most").alias("most")).filter("most > kept_in")
+    verdicts = rooted.join(spread.select("root", "kept_in"), "root").select("id", "kept_in")
+    return places.join(verdicts, "id").filter("doc > kept_in").select("doc", "start", "end", "kept_in").distinct()
 
-def remove_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+
+_REMOVED = "array<struct<start:bigint,end:bigint,kept_in:bigint>>"
+
+
+def _apart(removed: DataFrame) -> DataFrame:
+    """The ranges of each document in order, none in another: a later one starts where the one before ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = []
+            for ranges in batch.column(1).to_pylist():
+                found: list[list[int]] = []
+                for start, end, kept_in in sorted(((r["start"], r["end"], r["kept_in"]) for r in ranges), key=lambda r: (r[0], -r[1], r[2])):
+                    before = found[-1] if found else [0, 0, None]
+                    if end <= before[1]:
+                        continue
+                    if start < before[1] and kept_in == before[2]:
+                        before[1] = end
+                    else:
+                        found.append([max(start, before[1]), end, kept_in])
+                lists.append([dict(zip(("start", "end", "kept_in"), r)) for r in found])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, batch.schema.field(1).type)], ["doc", "removed"])
+
+    return removed.mapInArrow(run, f"doc bigint, removed {_REMOVED}")
+
+
+def remove_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """One row per row of ``docs``: its key, ``n_paragraphs``, ``n_removed`` and ``removed``.
 
-    ``n_paragraphs`` counts those of at least ``MIN_WORDS`` words; shorter ones are left
-    alone. ``removed`` lists what goes, in order: ``start`` and ``end`` in UTF-8 bytes, and
+    ``removed`` lists what goes, in order: ``start`` and ``end`` in UTF-8 bytes, and
     ``kept_in``, the document in which the paragraph or a similar one stays. Repeats within
     a document stay. Null texts are empty. Rows with equal keys are one document; rows with
     a null key lose nothing, take nothing from others and have no paragraphs counted.
+
+    Without ``whole``, only pieces of lines are compared: ``n_paragraphs`` counts those of at
+    least ``MIN_WORDS`` words, and shorter ones are left alone. With ``whole``, lines are
+    paragraphs, counted and compared with each other first, then the pieces of those that
+    stay. Ranges that overlap are joined or cut.
     """
     small_batches(docs.sparkSession)
     body = docs.select(F.col(key).cast("bigint").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -352,20 +421,24 @@ def remove_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text")
     (total,) = known.agg(F.sum(F.octet_length("text"))).first()
     # A paragraph of about 60 bytes has one entry in each band.
     bits = max(6, ((total or 0) * BANDS // 60 // ENTRIES_PER_BUCKET).bit_length())
-    paragraphs = store(_paragraphs(known))
-    roots = similar(paragraphs, _entries(known, bits), known)
-    own = paragraphs.groupBy("id").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    rooted = own.join(roots, own["id"] == roots["node"], "left").select("id", "least", "most", F.coalesce("root", "id").alias("root"))
-    spread = rooted.groupBy("root").agg(F.min("least").alias("kept_in"), F.max("most").alias("most")).filter("most > kept_in")
-    verdicts = rooted.join(spread.select("root", "kept_in"), "root").select("id", "kept_in")
-    gone = paragraphs.join(verdicts, "id").filter("doc > kept_in").distinct()
+    paragraphs = store(_paragraphs(known, whole))
+    roots = similar(paragraphs, _entries(known, bits, whole), known, whole=whole)
+    if whole:
+        counted = paragraphs.filter("line < 0")
+        lines = store(_gone(counted, roots))
+        # What a line that goes holds is neither kept there nor removed twice.
+        rest = paragraphs.filter("line >= 0")
+        rest = rest.join(lines.select("doc", F.col("start").alias("line")).distinct(), ["doc", "line"], "left_anti")
+        gone = lines.unionAll(_gone(rest, roots))
+    else:
+        counted, gone = paragraphs, _gone(paragraphs, roots)
     removed = gone.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kept_in"))).alias("removed"))
-    counts = paragraphs.distinct().groupBy("doc").agg(F.count("*").alias("n"))
+    removed = _apart(removed) if whole else removed
+    counts = counted.distinct().groupBy("doc").agg(F.count("*").alias("n"))
     found = body.select("doc").join(counts, "doc", "left").join(removed, "doc", "left")
-    kind = "array<struct<start:bigint,end:bigint,kept_in:bigint>>"
     return found.select(
         F.col("doc").alias(key),
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n_paragraphs"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce("removed", F.array().cast(kind)).alias("removed"),
+        F.coalesce("removed", F.array().cast(_REMOVED)).alias("removed"),
     )

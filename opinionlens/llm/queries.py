@@ -40,7 +40,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraph_dedup.remove_paragraphs(read(spark, sf_dir, "documents"))
+    return paragraph_dedup.remove_paragraphs(read(spark, sf_dir, "documents"), whole=True)
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

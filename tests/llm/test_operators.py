@@ -151,6 +151,34 @@ def test_crowds_of_similar_paragraphs(spark):
     assert found == {d: [] if root[i] == i else [table[root[i]][0]] for i, (d, _) in enumerate(table)}
 
 
+def _removed_texts(spark, table):
+    """What is removed of each document, as text."""
+    df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(3)
+    found = {r["doc_id"]: r["removed"] for r in paragraph_dedup.remove_paragraphs(df, whole=True).collect()}
+    for ranges in found.values():
+        assert all(a["end"] <= b["start"] for a, b in zip(ranges, ranges[1:]))
+    return {d: [(t.encode()[x["start"] : x["end"]].decode(), x["kept_in"]) for x in found[d]] for d, t in table}
+
+
+def test_whole_lines_are_compared(spark):
+    """A line of short sentences with one changed word is similar as a whole, though none of its pieces is."""
+    words = [f"w{i}" + "." * (i % 10 == 9) for i in range(80)]
+    changed = [*words[:44], "other", *words[45:]]
+    far = [w if i % 6 else f"x{i}" for i, w in enumerate(words)]
+    table = [(1, " ".join(words)), (2, "own line here\n" + " ".join(changed)), (3, " ".join(far))]
+    assert brute.jaccard(tuple(words), tuple(changed)) >= 0.8 > brute.jaccard(tuple(words), tuple(far))
+    assert _removed_texts(spark, table) == {1: [], 2: [(" ".join(changed), 1)], 3: []}
+
+
+def test_lines_that_go_keep_nothing(spark):
+    """A piece is not removed for a line that goes itself: the only other copy of its words stays."""
+    words = [f"w{i}" + "." * (i % 10 == 9) for i in range(80)]
+    changed = [*words[:44], "other", *words[45:]]
+    piece = " ".join(changed[40:50])
+    found = _removed_texts(spark, [(1, " ".join(words)), (2, " ".join(changed)), (3, f"quite another start of a line with more words. {piece}")])
+    assert found == {1: [], 2: [(" ".join(changed), 1)], 3: []}
+
+
 def test_quality(docs, rows):
     judged = quality.judge(quality.add_statistics(docs))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
