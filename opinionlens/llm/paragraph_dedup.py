@@ -84,11 +84,13 @@ class Paragraphs:
             line_last = np.flatnonzero(line_end) + 1
             line_first = np.concatenate([[0], line_last[:-1]])
             line_of = np.cumsum(line_end) - line_end
-            long_line = line_last - line_first >= MIN_WORDS
-            pieces, lines = len(self.first), long_line.sum()
-            self.first = np.concatenate([line_first[long_line], self.first])
-            self.last = np.concatenate([line_last[long_line], self.last])
-            self.kind = np.repeat([LINE, PIECE], [lines, pieces])
+            # A short piece ends its line. With the piece before it, if there is one, it is a paragraph, too.
+            tail = np.flatnonzero(~long_enough)
+            tail = tail[(tail > 0) & (line_of[first[tail]] == line_of[first[tail - 1]])]
+            pieces = len(self.first) + len(tail)
+            self.first = np.concatenate([line_first, self.first, first[tail - 1]])
+            self.last = np.concatenate([line_last, self.last, last[tail]])
+            self.kind = np.repeat([LINE, PIECE], [len(line_first), pieces])
             self.line = line_first[line_of[self.first]]
         self.row = row[self.first]
         # Word hashes over lower-cased letters.
@@ -411,9 +413,10 @@ def remove_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text",
     a null key lose nothing, take nothing from others and have no paragraphs counted.
 
     Without ``whole``, only pieces of lines are compared: ``n_paragraphs`` counts those of at
-    least ``MIN_WORDS`` words, and shorter ones are left alone. With ``whole``, lines are
-    paragraphs, counted and compared with each other first, then the pieces of those that
-    stay. Ranges that overlap are joined or cut.
+    least ``MIN_WORDS`` words, and shorter ones are left alone. With ``whole``, every line
+    with a word is a paragraph and counted, and lines are compared with lines first. Then
+    the pieces of the lines that stay are compared, also with a short end joined to the
+    piece before it. Ranges that overlap are joined or cut.
     """
     small_batches(docs.sparkSession)
     body = docs.select(F.col(key).cast("bigint").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))

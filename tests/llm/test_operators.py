@@ -179,6 +179,15 @@ def test_lines_that_go_keep_nothing(spark):
     assert found == {1: [], 2: [(" ".join(changed), 1)], 3: []}
 
 
+def test_short_lines_and_ends(spark):
+    """Lines of any number of words, and ends of lines under eight words, go with their copies."""
+    verse = "Roses are red\nviolets\nand this line has six words"
+    shared = "one sentence that has exactly eight words here. And a short end"
+    table = [(1, f"{verse}\nanother start of a line with nine words then. {shared}"), (2, f"first own words\n{verse}"), (3, f"some other start of a line with many words altogether. {shared}"), (4, "And a short"), (5, None)]
+    found = _removed_texts(spark, [t for t in table if t[1]])
+    assert found == {1: [], 2: [(x, 1) for x in verse.split("\n")], 3: [(shared, 1)], 4: []}
+
+
 def test_quality(docs, rows):
     judged = quality.judge(quality.add_statistics(docs))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
