@@ -9,6 +9,10 @@ Equal paragraphs are one class from the start. Classes whose shingles have equal
 in one band are candidates, unless small maps of their shingles prove them different.
 Candidates are checked by the exact Jaccard similarity of their shingles. Of a component
 of classes the paragraphs in its smallest document stay, all others are removed.
+
+Where passages are copied into lines, ends of sentences may be missing or not agree. Of
+lines that stay, words are therefore also compared exactly from anchors on, which the words
+themselves set. At the borders of a passage a few words remain.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from opinionlens.llm.components import components
 MIN_WORDS = 8
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
+# One pair of words in so many is an anchor, at which passages that were copied into lines are compared.
+ANCHOR_EVERY = 8
 # At similarity 0.8 a pair escapes all bands with probability (1 - 0.8 ** 2) ** 5 = 0.006.
 BANDS, ROWS = 5, 2
 ENTRIES_PER_BUCKET = 1 << 17
@@ -38,7 +44,7 @@ def _odd(n: int) -> np.ndarray:
 
 _LETTERS, _PLACES, _ORDER, _TURN = _odd(256), _odd(64), _odd(4096), _odd(BANDS * ROWS + 1)
 # Only paragraphs of one kind are compared.
-PIECE, LINE = 0, 1
+PIECE, LINE, COPY = 0, 1, 2
 _KINDS = np.concatenate([[np.uint64(0)], _odd(2)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -92,7 +98,8 @@ class Paragraphs:
             self.last = np.concatenate([line_last, self.last, last[tail]])
             self.kind = np.repeat([LINE, PIECE], [len(line_first), pieces])
             self.line = line_first[line_of[self.first]]
-        self.row = row[self.first]
+            self.line_first, self.line_last = line_first[line_of], line_last[line_of]
+        self.word_row, self.row = row, row[self.first]
         # Word hashes over lower-cased letters.
         place = np.arange(len(content)) - np.repeat(starts, np.diff(np.append(starts, len(content)))) if starts[0] == 0 else None
         if place is None:
@@ -105,6 +112,20 @@ class Paragraphs:
         self.first, self.last, self.row = self.first[chosen], self.last[chosen], self.row[chosen]
         self.kind, self.line = self.kind[chosen], self.line[chosen]
 
+    def to_copies(self) -> None:
+        """Instead of paragraphs, the ``MIN_WORDS`` words from each anchor on, and those up to the next if that is farther.
+
+        Anchors depend on two words only, so those inside a copied passage agree with its source's.
+        """
+        pairs = _mix(self.words[:-1] * _ORDER[0] + self.words[1:] * _ORDER[1])
+        anchor = np.flatnonzero((pairs >> np.uint64(32)) % np.uint64(ANCHOR_EVERY) == 0)
+        anchor = anchor[anchor + MIN_WORDS <= self.line_last[anchor]]
+        far = np.flatnonzero((np.diff(anchor) > MIN_WORDS) & (self.line_last[anchor[1:]] == self.line_last[anchor[:-1]]))
+        self.first = np.concatenate([anchor, anchor[far]])
+        self.last = np.concatenate([anchor + MIN_WORDS, anchor[far + 1]])
+        self.kind = np.full(len(self.first), COPY)
+        self.line, self.row = self.line_first[self.first], self.word_row[self.first]
+
     def ids(self) -> np.ndarray:
         """A hash of each paragraph's words, in order, and of its kind."""
         sizes = self.last - self.first
@@ -170,11 +191,88 @@ def _paragraphs(docs: DataFrame, whole: bool) -> DataFrame:
     return docs.mapInArrow(run, _PLACE)
 
 
+# What a bucket is sent of copied words: id, document, byte where they start, where their line starts, and size.
+_COPY = (np.int64, np.int64, np.uint32, np.uint32, np.uint32)
+
+
+def _packed(bucket: np.ndarray, parts: list[np.ndarray], kinds: tuple) -> Iterator[pa.RecordBatch]:
+    """The entries of each bucket as one blob, column by column."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, parts = bucket[order], [x[order].astype(kind) for x, kind in zip(parts, kinds)]
+    borders = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+    rows = [(int(bucket[i]), b"".join(x[i:j].tobytes() for x in parts)) for i, j in zip(borders[:-1], borders[1:])]
+    for i in range(0, len(rows), 512):
+        b, x = zip(*rows[i : i + 512])
+        yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(x, pa.binary())], ["bucket", "blob"])
+
+
+def _unpacked(blobs: list[bytes], kinds: tuple) -> list[np.ndarray]:
+    parts: list[list[np.ndarray]] = [[] for _ in kinds]
+    size = sum(np.dtype(kind).itemsize for kind in kinds)
+    for blob in blobs:
+        n, at = len(blob) // size, 0
+        for store_in, kind in zip(parts, kinds):
+            store_in.append(np.frombuffer(blob, kind, n, at))
+            at += n * np.dtype(kind).itemsize
+    return [np.concatenate(x) for x in parts]
+
+
+def _copies(docs: DataFrame, bits: int) -> DataFrame:
+    """The places of words at anchors that are found in several documents, like ``_paragraphs``.
+
+    Words that several documents of a batch have are known to be copied: their places go on
+    as they are, below a bucket under zero, and the bucket of their id is sent a mark of size
+    0. So however common a passage is, a batch sends it to a bucket once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owners, parts = batch.column(0).to_numpy(zero_copy_only=False), []
+            for low, high in slices(batch.column(1)):
+                content, offsets = utf8(batch.column(1).slice(low, high - low))
+                found = Paragraphs(content, offsets, whole=True)
+                if not len(found.first):
+                    continue
+                found.to_copies()
+                if len(found.first):
+                    base, start = offsets[found.row], found.starts[found.first]
+                    parts.append((found.ids(), owners[low:high][found.row], start - base, found.starts[found.line] - base, found.ends[found.last - 1] - start))
+            if not parts:
+                continue
+            ids, doc, start, line, size = map(np.concatenate, zip(*parts))
+            order = np.lexsort((doc, ids))
+            ids, doc, start, line, size = (x[order] for x in (ids, doc, start, line, size))
+            first = np.concatenate([[True], ids[1:] != ids[:-1]])
+            group = np.cumsum(first) - 1
+            begin = np.flatnonzero(first)
+            several = (doc[begin] != doc[np.append(begin[1:], len(ids)) - 1])[group]
+            own = ids.view(np.uint64) >> np.uint64(64 - bits)
+            bucket = np.where(several, -1 - (abs(int(owners[0])) * 40503 >> 4) % (1 << bits), own.astype(np.int64))
+            mark = np.flatnonzero(several & first)
+            none = np.zeros(len(mark), np.int64)
+            columns = [np.concatenate(x) for x in ((ids, ids[mark]), (doc, none), (start, none), (line, none), (size, none))]
+            yield from _packed(np.concatenate([bucket, own[mark].astype(np.int64)]), columns, _COPY)
+
+    def meet(table: pa.Table) -> pa.Table:
+        ids, doc, start, line, size = _unpacked(table["blob"].to_pylist(), _COPY)
+        if table["bucket"][0].as_py() >= 0:
+            order = np.lexsort((doc, ids))
+            ids, doc, start, line, size = (x[order] for x in (ids, doc, start, line, size))
+            begin = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            end = np.append(begin[1:], len(ids))
+            several = (doc[begin] != doc[end - 1]) | np.logical_or.reduceat(size == 0, begin)
+            chosen = np.flatnonzero(np.repeat(several, end - begin) & (size > 0))
+            ids, doc, start, line, size = (x[chosen] for x in (ids, doc, start, line, size))
+        columns = (doc, ids, start.astype(np.int64), start.astype(np.int64) + size, line.astype(np.int64))
+        return pa.table([pa.array(x, pa.int64()) for x in columns], ["doc", "id", "start", "end", "line"])
+
+    return docs.mapInArrow(run, "bucket bigint, blob binary").groupBy("bucket").applyInArrow(meet, _PLACE)
+
+
 # What a bucket is sent of a class: the low half of a band's key, as the bucket tells enough
 # of the other, its id, and the map and number of its shingles.
 _ENTRY = (np.uint32, np.int64, np.uint64, np.uint16)
 _MANY = 0xFFFF  # stands for this number of shingles or more
-_ENTRY_BYTES = sum(np.dtype(kind).itemsize for kind in _ENTRY)
 
 
 def _entries(docs: DataFrame, bits: int, whole: bool) -> DataFrame:
@@ -206,15 +304,7 @@ def _entries(docs: DataFrame, bits: int, whole: bool) -> DataFrame:
             if not packed:
                 continue
             key, ids, bits_of, size = (np.concatenate(x) for x in zip(*packed))
-            order = np.argsort(key)
-            key, ids, bits_of, size = key[order], ids[order], bits_of[order], size[order]
-            bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
-            borders = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            columns = (key.astype(np.uint32), ids, bits_of, size)
-            rows = [(int(bucket[i]), b"".join(x[i:j].tobytes() for x in columns)) for i, j in zip(borders[:-1], borders[1:])]
-            for i in range(0, len(rows), 512):
-                b, x = zip(*rows[i : i + 512])
-                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(x, pa.binary())], ["bucket", "blob"])
+            yield from _packed((key >> np.uint64(64 - bits)).astype(np.int64), [key, ids, bits_of, size], _ENTRY)
 
     return docs.mapInArrow(run, "bucket bigint, blob binary")
 
@@ -242,13 +332,7 @@ def _candidates(entries: DataFrame) -> DataFrame:
     """
 
     def meet(table: pa.Table) -> pa.Table:
-        parts: tuple[list, list, list, list] = ([], [], [], [])
-        for blob in table["blob"].to_pylist():
-            n, at = len(blob) // _ENTRY_BYTES, 0
-            for store_in, kind in zip(parts, _ENTRY):
-                store_in.append(np.frombuffer(blob, kind, n, at))
-                at += n * np.dtype(kind).itemsize
-        key, ids, bits, size = map(np.concatenate, parts)
+        key, ids, bits, size = _unpacked(table["blob"].to_pylist(), _ENTRY)
         order = np.lexsort((ids, key))
         key, ids, bits, size = key[order], ids[order], bits[order], size[order]
         fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])])
@@ -416,7 +500,7 @@ def remove_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text",
     least ``MIN_WORDS`` words, and shorter ones are left alone. With ``whole``, every line
     with a word is a paragraph and counted, and lines are compared with lines first. Then
     the pieces of the lines that stay are compared, also with a short end joined to the
-    piece before it. Ranges that overlap are joined or cut.
+    piece before it, and the words from each anchor on. Ranges that overlap are joined or cut.
     """
     small_batches(docs.sparkSession)
     body = docs.select(F.col(key).cast("bigint").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -430,7 +514,7 @@ def remove_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text",
         counted = paragraphs.filter("line < 0")
         lines = store(_gone(counted, roots))
         # What a line that goes holds is neither kept there nor removed twice.
-        rest = paragraphs.filter("line >= 0")
+        rest = paragraphs.filter("line >= 0").unionAll(store(_copies(known, bits)))
         rest = rest.join(lines.select("doc", F.col("start").alias("line")).distinct(), ["doc", "line"], "left_anti")
         gone = lines.unionAll(_gone(rest, roots))
     else:

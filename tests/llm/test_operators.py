@@ -188,6 +188,27 @@ def test_short_lines_and_ends(spark):
     assert found == {1: [], 2: [(x, 1) for x in verse.split("\n")], 3: [(shared, 1)], 4: []}
 
 
+@pytest.mark.parametrize("shared", [0, 40])
+def test_copies_inside_lines_without_stops(spark, shared):
+    """A passage without ends of sentences is found in the middle of lines, but for a few words at its borders."""
+    import random
+
+    rng = random.Random(9)
+
+    def some(n):
+        return [f"v{rng.randrange(10**6)}" for _ in range(n)]
+
+    passage = some(300)
+    table = [(i, " ".join([*some(70), *passage, *some(50)])) for i in range(1, 4 + shared)] + [(90, " ".join(some(200)))]
+    found = _removed_texts(spark, table)
+    assert not found[1] and not found[90]
+    for i in range(2, 4 + shared):
+        words = [w for text, _ in found[i] for w in text.split()]
+        assert found[i][0][1] == 1 and all(kept_in < i for _, kept_in in found[i])
+        at = passage.index(words[0])
+        assert words == passage[at : at + len(words)] and len(words) > 250
+
+
 def test_quality(docs, rows):
     judged = quality.judge(quality.add_statistics(docs))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
