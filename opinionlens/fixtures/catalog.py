@@ -240,6 +240,11 @@ def _once(spark, sf, name, fit):
     return _FITS[key]
 
 
+def forget_fits() -> None:
+    """Let the next query that reports on a fit make it anew."""
+    _FITS.clear()
+
+
 def _clustered(spark, sf):
     def fit():
         posts = _texts(spark, sf)

@@ -173,3 +173,20 @@ def test_hash_split(spark):
     assert {r.id for r in train.collect()} == {r.id for r in models.hash_split(df.repartition(5), ["id", "text"])[0].collect()}
     digest = hashlib.md5(b"3\x1fp3").hexdigest()
     assert (train.filter("id = 3").count() == 1) == (int(digest[:8], 16) % 100 < 80)
+
+
+def test_bench_times_the_fit_of_each_run(spark):
+    """No timed run reports on a fit that an earlier one made."""
+    import bench
+    from opinionlens.fixtures import catalog
+
+    made = []
+
+    def query(spark, sf):
+        catalog._once(spark, sf, "bench", lambda: made.append(1) or len(made))
+        return spark.range(1)
+
+    for _ in range(3):
+        assert bench.run_once(query, spark, "somewhere") > 0
+    assert len(made) == 3
+    catalog.forget_fits()
