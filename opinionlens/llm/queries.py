@@ -9,17 +9,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinionlens.llm import embeddings, extraction, mixing, paragraph_dedup, quality, secrets, sentencepiece_codec, simhash, suffix_dedup, token_counts
+from opinionlens.llm import (
+    bpe_automaton,
+    embeddings,
+    extraction,
+    lexical,
+    merkle,
+    mixing,
+    paragraph_dedup,
+    quality,
+    secrets,
+    sentencepiece_codec,
+    simhash,
+    suffix_dedup,
+    token_counts,
+)
 from opinionlens.llm.common import read, store
 from opinionlens.llm.oracles import ORACLES  # noqa: F401
 
-MODEL = "piece_bpe_32k.model"
+MODEL, BYTE_BPE = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
-def model_path() -> str:
+def model_path(name: str = MODEL) -> str:
     """The tokenizer's file: in ``$TOKENIZER_DIR`` if that is set, else in its package."""
     folder = os.environ.get("TOKENIZER_DIR")
-    return os.path.join(folder, MODEL) if folder else public_tokenizers.path(MODEL)
+    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +94,34 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = read(spark, sf_dir, "documents").select("doc_id", "text"), model_path(BYTE_BPE)
+    encoded = bpe_automaton.encode(docs, path, digest="ids_sha256").drop("text")
+    decoded = bpe_automaton.decode(encoded, path)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    kept = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaf = merkle.digest_of([*kept, F.col("text")])
+    leaves = docs.select("doc_id", "source", leaf.alias("leaf"), F.when(tampered, merkle.digest_of([*kept, low])).alias("tampered"))
+    proofs = merkle.prove(leaves).withColumn("presented", F.coalesce("tampered", "leaf"))
+    folded = merkle.verify(proofs, leaf="presented")
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -91,4 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_extraction": op8_extraction,
     "op9_simhash": op9_simhash,
     "op10_embeddings": op10_embeddings,
+    "op11_bpe": op11_bpe,
+    "op12_merkle": op12_merkle,
+    "op13_lexical": op13_lexical,
 }
