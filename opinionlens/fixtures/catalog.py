@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
+import numpy as np
 from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from opinionlens.fixtures.adapters import frame
 from opinionlens.functions import text as tx
 from opinionlens.functions import tokens as tk
 from opinionlens.functions import values as v
-from opinionlens.operators import labeling, models, polarization, reports, subjects, tags, volume, words
+from opinionlens.operators import clustering, labeling, margin, models, polarization, reports, subjects, tags, volume, words
 from opinionlens.operators import posts as post_ops
 from opinionlens.plans import registry
 from opinionlens.session import materialize, shared_dir
@@ -41,6 +42,10 @@ CUSTOM_POS = [r"\bvote\b(\s+blue)?", r"anti-?maga|\bquinces?\b"]
 # Files of the model queries' stored feature tables.
 FIT_PARTITIONS = 8
 
+# Where the checks of single steps of the models start.
+GIVEN_CENTROIDS, GIVEN_STEPS = 4, 3
+GIVEN_BUCKETS, GIVEN_INTERCEPT = 1 << 12, 0.10005
+
 
 def _posts(spark, sf):
     return frame(spark, sf, "posts")
@@ -273,6 +278,55 @@ def _tfidf_vectors(spark, sf):
     return found.select("post_id", F.get(names, F.col("at")).alias("word"), F.round("weight", 9).alias("weight"))
 
 
+def _word_vectors(spark, sf):
+    """Sparse vectors of the clusters' features, and the centroids that four posts are."""
+    words_of = models.topic_words(_texts(spark, sf).withColumn("hashtags", F.lit("")), ["post_id"], tk.stop_words())
+    terms = clustering.vocabulary(words_of)
+    vectors = materialize(clustering.sparse_vectors(words_of, terms))
+    given = vectors.filter(F.col("post_id") < GIVEN_CENTROIDS).select(
+        F.col("post_id").alias("cluster"), F.explode(F.arrays_zip("terms", "weights")).alias("entry")
+    )
+    rows = given.select("cluster", F.col("entry.terms").alias("term"), F.col("entry.weights").alias("weight")).collect()
+    return terms, vectors, clustering.as_centroids(rows, GIVEN_CENTROIDS, len(terms.words))
+
+
+def _kmeans_step(spark, sf):
+    terms, vectors, centroids = _word_vectors(spark, sf)
+    names = F.array(*[F.lit(w) for w in terms.words])
+    step = clustering.kmeans_step(vectors, centroids)
+    return step.select("cluster", F.get(names, F.col("term").cast("int")).alias("word"), "weight", "posts")
+
+
+def _kmeans_assigned(spark, sf):
+    """Clusters of all posts after steps from given centroids."""
+    terms, vectors, centroids = _word_vectors(spark, sf)
+    for _ in range(GIVEN_STEPS):
+        centroids = clustering.as_centroids(clustering.kmeans_step(vectors, centroids).collect(), GIVEN_CENTROIDS, len(terms.words))
+    return clustering.assign(vectors, centroids, ["post_id"])
+
+
+def _topic_clusters(spark, sf):
+    """The clusters of a whole fit, seeds included."""
+    return clustering.fit_clusters(_texts(spark, sf), "post_id", keep=["post_id"]).clustered.select("post_id", "cluster")
+
+
+def _stance_words(spark, sf, features=("text",)):
+    return models.stance_words(_posts(spark, sf), features, keep=["post_id"])
+
+
+def _hinge_gradient(spark, sf):
+    """Loss and gradient at weights that a rule gives."""
+    codes = _stance_words(spark, sf).select("label", margin.hashed_words("words", GIVEN_BUCKETS).alias("codes"))
+    weights = [(b * 37 % 101 - 50) / 1000 for b in range(GIVEN_BUCKETS)]
+    found = margin.hinge_gradient(codes, np.array(weights), GIVEN_INTERCEPT)
+    return found.select("bucket", F.round("gradient", 6).alias("gradient"))
+
+
+def _stance_machine_metrics(spark, sf):
+    fit = margin.fit_stance_machine(_posts(spark, sf), keys=["post_id"])
+    return models.classification_metrics(fit.predictions)
+
+
 def _stored(spark, sf):
     """The four results by state, written as the runner writes them and read back."""
     out = shared_dir(spark)
@@ -414,6 +468,12 @@ QUERIES: dict[str, Query] = {
     "label_pivot": lambda s, d: reports.label_pivot(models.confusion_matrix(_predictions(s, d))),
     "hash_split": _hash_split,
     "tfidf_vectors": _tfidf_vectors,
+    "kmeans_step_given": _kmeans_step,
+    "kmeans_assigned_given": _kmeans_assigned,
+    "topic_clusters": _topic_clusters,
+    "hashed_terms": lambda s, d: margin.hashed_terms(_stance_words(s, d), "post_id"),
+    "hinge_gradient_given": _hinge_gradient,
+    "stance_machine_metrics": _stance_machine_metrics,
     "score_metrics_given": _score_metrics,
     "auc_from_scores": _auc_from_scores,
     "classification_metrics": _classification_metrics,

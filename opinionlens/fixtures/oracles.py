@@ -8,6 +8,7 @@ from opinionlens import constants as K
 from opinionlens.fixtures import catalog as C
 from opinionlens.fixtures.adapters import with_clause
 from opinionlens.functions import text as tx
+from opinionlens.operators import clustering
 from opinionlens.operators.labeling import PROMPT
 
 WORD_CLASS = r"\p{L}\p{N}_"
@@ -296,6 +297,39 @@ from (select *, {_rule()} as rule from stance_posts)"""
     )
 
 
+def _kmeans(terms: str, steps: int) -> dict[str, str]:
+    """Tables of K-Means in whole numbers: vectors ``entries``, and for each step ``near`` and ``means``."""
+    parts = {
+        "terms": terms,
+        "entries": "select post_id, word, cast(round(tf * idf / sqrt(sum((tf * idf) ** 2) over (partition by post_id)) "
+        f"* {clustering.SCALE}) as bigint) as q "
+        "from (select post_id, word, count(*) as tf from kept_words group by post_id, word) join terms using (word)",
+        "clusters": f"select unnest(range({C.GIVEN_CENTROIDS})) as cluster",
+        "means0": f"select post_id as cluster, word, q as weight from entries where post_id < {C.GIVEN_CENTROIDS}",
+    }
+    for k in range(steps + 1):
+        parts[f"dots{k}"] = f"select e.post_id, m.cluster, sum(e.q * m.weight) as dot from entries e join means{k} m using (word) group by 1, 2"
+        parts[f"sizes{k}"] = f"select cluster, coalesce(sum(weight * weight), 0) as size from clusters left join means{k} using (cluster) group by cluster"
+        parts[f"near{k}"] = (
+            f"select post_id, arg_min(cluster, (size - 2 * coalesce(dot, 0), cluster)) as cluster from posts cross join sizes{k} "
+            f"left join dots{k} using (post_id, cluster) group by post_id"
+        )
+        parts[f"means{k + 1}"] = (
+            f"select cluster, word, cast(sum(q) // posts as bigint) as weight, posts from near{k} join entries using (post_id) "
+            f"join (select cluster, count(*) as posts from near{k} group by cluster) using (cluster) group by cluster, word, posts"
+        )
+    return parts
+
+
+def _buckets(size: int) -> str:
+    """The signed buckets of ``kept_words``, as ``post_id``, ``bucket`` and ``value``."""
+    return (
+        f"select post_id, cast(('0x' || substr(md5(word), 1, 7))::bigint % {size} as int) as bucket, "
+        "cast(sum(case when substr(md5(word), 8, 1) < '8' then 1 else -1 end) as bigint) as value "
+        "from kept_words join posts using (post_id) where binary_label in (0, 1) group by 1, 2 having value <> 0"
+    )
+
+
 def oracles() -> dict[str, str]:
     stops = word_list(sorted({w.lower() for w in [*K.ENGLISH_STOPWORDS, *K.EXTRA_STOPWORDS]}))
     post_words = "select post_id, state, unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) as word from posts"
@@ -334,6 +368,12 @@ def oracles() -> dict[str, str]:
     users_once = "count(distinct user_id) as unique_users"
     by_city_sum = "cast(sum(unique_users) as bigint)"
 
+    terms = (
+        "select word, ln((n + 1) / (doc_count + 1)) as idf from (select word, count(*) as term_count, "
+        "count(distinct post_id) as doc_count, (select count(*) from posts) as n from kept_words group by word) "
+        f"where doc_count >= {K.MIN_DF} and doc_count <= {K.MAX_DF} * n "
+        f"order by term_count desc, word limit {K.VOCAB_SIZE}"
+    )
     return {
         "geo_distribution": _clean_query("select * from geo", "geo"),
         "temporal_evolution": _clean_query("select * from temporal", "temporal"),
@@ -382,10 +422,26 @@ def oracles() -> dict[str, str]:
             "posts",
             extra={
                 **word_ctes,
-                "terms": "select word, ln((n + 1) / (doc_count + 1)) as idf from (select word, count(*) as term_count, "
-                "count(distinct post_id) as doc_count, (select count(*) from posts) as n from kept_words group by word) "
-                f"where doc_count >= {K.MIN_DF} and doc_count <= {K.MAX_DF} * n "
-                f"order by term_count desc, word limit {K.VOCAB_SIZE}",
+                "terms": terms,
+            },
+        ),
+        "kmeans_step_given": _query("select cluster, word, weight, posts from means1", "posts", extra={**word_ctes, **_kmeans(terms, 0)}),
+        "kmeans_assigned_given": _query(
+            f"select post_id, cast(cluster as int) as cluster from near{C.GIVEN_STEPS}", "posts", extra={**word_ctes, **_kmeans(terms, C.GIVEN_STEPS)}
+        ),
+        "hashed_terms": _query(_buckets(K.SVM_HASH_SIZE), "posts", extra=word_ctes),
+        "hinge_gradient_given": _query(
+            "select bucket, round(cast(sum(-side * value) as double), 6) as gradient from within join entries using (post_id) group by bucket "
+            f"union all select {C.GIVEN_BUCKETS}, coalesce(sum(-side), 0)::double from within "
+            f"union all select {C.GIVEN_BUCKETS} + 1, round(coalesce(sum(short), 0), 6) from within",
+            "posts",
+            extra={
+                **word_ctes,
+                "entries": _buckets(C.GIVEN_BUCKETS),
+                "scores": "select post_id, sum(value * ((bucket * 37) % 101 - 50) / 1000.0::double) as score from entries group by post_id",
+                "sides": "select post_id, 2 * binary_label - 1 as side from posts where binary_label in (0, 1)",
+                "within": f"select post_id, side, 1 - side * (coalesce(score, 0) + {C.GIVEN_INTERCEPT}::double) as short "
+                "from sides left join scores using (post_id) where short > 0",
             },
         ),
         "distinct_states": _clean_query("select distinct state from clean"),

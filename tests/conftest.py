@@ -67,8 +67,3 @@ def _to_date():
     from pyspark.sql import functions as F
 
     return F.to_date("date")
-
-
-def rows_of(df):
-    """Rows as comparable tuples, in a fixed order."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((x is None, str(x)) for x in r))

@@ -2,7 +2,7 @@ import re
 from functools import partial
 
 import pytest
-from conftest import rows_of
+from comparing import rows_of
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -5,7 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import rows_of
+from comparing import rows_of
 from pyspark.sql import functions as F
 
 from opinionlens import constants as K

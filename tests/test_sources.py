@@ -1,7 +1,7 @@
 import glob
 
 import pytest
-from conftest import rows_of
+from comparing import rows_of
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
