@@ -11,8 +11,7 @@ a negative look-ahead that turns common characters away in one or two.
 from __future__ import annotations
 
 import re
-import unicodedata
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 
 from opinionlens import constants as K
 from opinionlens.functions.classes import SPACE_CHARS, WORD_CHARS
+from opinionlens.functions.composition import character, character_class, compose, constant_map, let
 from opinionlens.functions.patterns import portable_pattern  # noqa: F401
 
 ColumnOrName = Column | str
@@ -98,26 +98,17 @@ LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl",
 ENTITIES = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
 ENTITY_SEGMENTS = r"(&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&)"
 
-# Letters with one mark, by the pair of characters that they decompose into.
-MARKS = r"\x{300}-\x{345}"
-COMPOSED = {
-    unicodedata.normalize("NFD", chr(cp)): chr(cp)
-    for cp in [*range(0xC0, 0x250), *range(0x386, 0x3D0), *range(0x400, 0x4FA), *range(0x1E00, 0x1F00)]
-    if len(unicodedata.normalize("NFD", chr(cp))) == 2 and unicodedata.normalize("NFC", chr(cp)) == chr(cp)
-}
-# Letters with two marks: the letter with the first one, and the second.
-COMPOSED |= {
-    unicodedata.decomposition(chr(cp)) and "".join(chr(int(x, 16)) for x in unicodedata.decomposition(chr(cp)).split()): chr(cp)
-    for cp in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]
-    if len(unicodedata.normalize("NFD", chr(cp))) == 3 and len(unicodedata.decomposition(chr(cp)).split()) == 2
-}
-
 CONTROL_PATTERN = r"(?![ -~])[\x{00}-\x{08}\x{0B}\x{0E}-\x{1F}\x{7F}\x{206A}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFC}]"
 LINE_BREAK_PATTERN = r"(?![ -~])(?:\r\n?|[\x{2028}\x{2029}])"
 
-# Any character that some repair step could act on.
+# What each repair step could act on. They open with what most texts are made of.
+_PLAIN = r"(?![\n !-~])"
+MOJIBAKE_HINT = rf"(?=[{_LEADS}])(?:{MOJIBAKE_PATTERN})"
+REPLACED_PATTERN = r"(?![\x{0}-\x{7F}])[" + character_class([*_CHAR_MAP, *LIGATURES]) + "]"
+ODD_PATTERN = _PLAIN + r"[\x{00}-\x{08}\x{0B}\x{0D}-\x{1F}\x{7F}\x{2028}\x{2029}\x{206A}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFC}]"
+# Any character that some of them could act on.
 SUSPECT_PATTERN = (
-    r"(?![\n !-%'-~])[&\x{00}-\x{08}\x{0B}\x{0D}-\x{1F}\x{7F}-\x{9F}" + _LEADS + MARKS + r"\x{2018}-\x{201F}\x{2028}\x{2029}"
+    r"(?![\n !-%'-~])[&\x{00}-\x{08}\x{0B}\x{0D}-\x{1F}\x{7F}-\x{9F}" + _LEADS + r"\x{2018}-\x{201F}\x{2028}\x{2029}"
     r"\x{206A}-\x{206F}\x{3000}\x{FB00}-\x{FB06}\x{FEFF}\x{FF01}-\x{FF5E}\x{FFF9}-\x{FFFC}]"
 )
 
@@ -128,22 +119,15 @@ def _replace_all(c: Column, table: Mapping[str, str]) -> Column:
     return c
 
 
-def _table(table: Mapping[str, str]) -> Column:
-    """A constant map, from one literal: thousands of them would slow down the planner."""
-    pairs = "\x02".join(f"{old}\x01{new}" for old, new in table.items())
-    return F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x01"))
-
-
 def _character(code: Column) -> Column:
     """The character of a code point; U+FFFD for what is none."""
     valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return F.when(valid, text).otherwise("�")
+    return F.when(valid, character(code)).otherwise("�")
 
 
 def _unescape(c: Column) -> Column:
     """Named and numeric character references, also where their & was escaped again."""
-    named = _table(ENTITIES)
+    named = constant_map(ENTITIES)
 
     def decoded(segment: Column) -> Column:
         inside = F.substring(segment, 2, F.length(segment) - 2)
@@ -158,25 +142,6 @@ def _unescape(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(segments, decoded), "")).otherwise(c)
 
 
-def _compose(c: Column) -> Column:
-    """Letters followed by combining marks as single characters, up to two marks each."""
-    table = _table(COMPOSED)
-    pattern = F.lit(rf"(?s)([^{MARKS}][{MARKS}]|[^{MARKS}]+(?=[^{MARKS}][{MARKS}])|[^{MARKS}]+(?![{MARKS}])|.)")
-
-    def composed(segment: Column) -> Column:
-        return F.when(F.length(segment) == 2, F.coalesce(F.try_element_at(table, segment), segment)).otherwise(segment)
-
-    fixed = c
-    for _ in range(2):
-        fixed = F.array_join(F.transform(F.regexp_extract_all(fixed, pattern, F.lit(1)), composed), "")
-    return F.when(c.rlike(f"[{MARKS}]"), fixed).otherwise(c)
-
-
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _undo_mojibake(c: Column) -> Column:
     def repair(segment: Column) -> Column:
         as_bytes = F.encode(F.translate(segment, CP1252_CHARS, C1_CHARS), "ISO-8859-1")
@@ -185,20 +150,36 @@ def _undo_mojibake(c: Column) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(SEGMENT_PATTERN), F.lit(1)), repair), "")
 
 
+def _where(pattern: str, step) -> Callable[[Column], Column]:
+    """A step for texts that hold the pattern; others are left alone."""
+    return lambda c: F.when(c.rlike(pattern), step(c)).otherwise(c)
+
+
+_STEPS: tuple[Callable[[Column], Column], ...] = (
+    # Entities are left alone in text that holds a "<": it may be markup.
+    lambda c: F.when(F.contains(c, F.lit("&")) & ~F.contains(c, F.lit("<")), _unescape(c)).otherwise(c),
+    _where(MOJIBAKE_HINT, _undo_mojibake),
+    _where(REPLACED_PATTERN, lambda c: _replace_all(F.translate(c, REPAIR_FROM, REPAIR_TO), LIGATURES)),
+    _where(ODD_PATTERN, lambda c: F.regexp_replace(F.regexp_replace(c, LINE_BREAK_PATTERN, "\n"), CONTROL_PATTERN, "")),
+)
+
+
 def repair_text(c: ColumnOrName) -> Column:
     """Undo common damage: HTML entities, mis-decoded UTF-8, stray control bytes,
     curly quotes, full-width forms, ligatures, odd line breaks, control characters,
     letters apart from their accents.
 
     Entities are left alone in text that holds a ``<``: it may be markup. Rows with
-    no suspect character pay for one pattern search only.
+    nothing suspect pay for two pattern searches only, others for the steps that they need.
     """
     c = column(c)
-    fixed = F.when(F.contains(c, F.lit("<")), c).otherwise(_unescape(c))
-    fixed = _undo_mojibake(fixed)
-    fixed = _replace_all(F.translate(fixed, REPAIR_FROM, REPAIR_TO), LIGATURES)
-    fixed = F.regexp_replace(F.regexp_replace(fixed, LINE_BREAK_PATTERN, "\n"), CONTROL_PATTERN, "")
-    return F.when(c.rlike(SUSPECT_PATTERN), _let(fixed, _compose)).otherwise(c)
+
+    def repaired(c: Column) -> Column:
+        for step in _STEPS:
+            c = let(c, step)
+        return let(c, compose)
+
+    return F.when(c.rlike(SUSPECT_PATTERN), repaired(c)).otherwise(compose(c))
 
 
 def strip_noise(c: ColumnOrName) -> Column:
