@@ -18,11 +18,11 @@ from opinionlens.functions import tokens as tk
 from opinionlens.functions import values as v
 from opinionlens.operators import clustering, labeling, margin, models, polarization, reports, subjects, tags, volume, words
 from opinionlens.operators import posts as post_ops
-from opinionlens.plans import registry
+from opinionlens.plans import folders, registry
 from opinionlens.session import materialize, shared_dir
 from opinionlens.sources import posts as post_sources
 from opinionlens.sources import results as result_sources
-from opinionlens.streaming.labels import label_new_files
+from opinionlens.streaming.labels import label_new_files, latest_labels, relabel_files, store_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,6 +190,21 @@ def _label_retry(spark, sf):
     return spark.read.parquet(f"{root}/labelled").select(*LABEL_COLUMNS)
 
 
+def _label_relabel(spark, sf):
+    """A round without a model, then one over the even posts with it, of which a batch is replayed."""
+    root = shared_dir(spark)
+    posts = _texts(spark, sf, "stance_posts")
+    posts.repartition(4).write.parquet(f"{root}/posts")
+    for label_round, model in ((1, None), (2, _stand_in_model())):
+        relabel_files(
+            spark, f"{root}/posts", posts.schema, f"{root}/labelled", f"{root}/progress", model, label_round=label_round,
+            relabel=label_round > 1, prepare=lambda p, r=label_round: p.filter((F.col("post_id") % 2 == 0) | (r == 1)), max_files_per_batch=2,
+        )
+    again = spark.read.parquet(f"{root}/labelled/label_round=2/label_batch=0")
+    store_batch(again.transform(materialize), f"{root}/labelled", 2, 0)
+    return latest_labels(spark, f"{root}/labelled", "post_id").select(*LABEL_COLUMNS)
+
+
 def _still_to_label(spark, sf):
     posts = _texts(spark, sf, "stance_posts")
     done = labeling.label_posts(posts).filter(F.col("post_id") % 3 > 0)
@@ -344,6 +359,31 @@ def _run_registry(spark, sf):
     return reduce(DataFrame.unionAll, tables).groupBy("result").agg(F.count("*").alias("rows"))
 
 
+def _write_report(spark, sf):
+    """Rows of the results of a staged run, which follows one that failed half-way."""
+    out, posts = shared_dir(spark), _clean(spark, sf)
+    params = registry.Params(keywords_a=KEYWORDS_A, keywords_b=KEYWORDS_B)
+    registry.run(posts, out, [1, 2], params)
+    try:
+        registry.run_staged(posts.limit(5), out, [1, "keyword_comparison"], replace(params, keywords_a=[]))
+    except ValueError:
+        kept = result_sources.read_result(spark, out, "geo_distribution").select(F.lit("after a failed run").alias("result"))
+    report = registry.run_staged(posts, f"{out}/next", [1, 2, 3, 5, "keyword_comparison", "polarization_city"], params)
+    return report.unionAll(kept.groupBy("result").agg(F.count("*").alias("rows")))
+
+
+def _clean_folder(spark, sf):
+    """Two runs over a folder of exports that grew in between."""
+    root = shared_dir(spark)
+    raw = _texts(spark, sf, "raw_posts").drop("file_name").withColumn("text", F.translate("text", "\n\r", "  "))
+    for half in (0, 1):
+        part = raw.filter(F.col("post_id") % 2 == half).write.mode("append").option("header", True).option("quote", '"').option("escape", '"')
+        part.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/raw")
+        folders.clean_folder(spark, f"{root}/raw", f"{root}/clean", FILE_KEYS)
+    cleaned = folders.read_cleaned(spark, f"{root}/clean")
+    return cleaned.select(F.col("post_id").cast("bigint").alias("post_id"), "text", "hashtags", "username", "description", "city")
+
+
 def _available_results(spark, sf):
     out = shared_dir(spark)
     registry.run(_clean(spark, sf), out, ["geo_distribution", "temporal_evolution"])
@@ -376,6 +416,10 @@ def _auc_from_scores(spark, sf):
     return spark.createDataFrame([("area_under_roc", round(area, 9))], "metric string, value double")
 
 
+def _roc_area(spark, sf):
+    return models.roc_area(frame(spark, sf, "scores")).select("metric", F.round("value", 9).alias("value"))
+
+
 def _classification_metrics(spark, sf):
     metrics = models.classification_metrics(_predictions(spark, sf))
     return metrics.select("metric", F.round("value", 9).alias("value"))
@@ -445,6 +489,7 @@ QUERIES: dict[str, Query] = {
     "model_label": _model_label,
     "label_resume": _label_resume,
     "label_retry": _label_retry,
+    "label_relabel": _label_relabel,
     "still_to_label": _still_to_label,
     "label_coverage": lambda s, d: post_ops.label_coverage(_clean(s, d), ["state"]),
     # sources and sinks
@@ -453,6 +498,8 @@ QUERIES: dict[str, Query] = {
     "stored_results": _stored_results,
     "run_registry": _run_registry,
     "available_results": _available_results,
+    "write_report": _write_report,
+    "clean_folder": _clean_folder,
     # models
     "cluster_summary": lambda s, d: models.cluster_summary(_clustered(s, d)),
     "cluster_terms": lambda s, d: models.cluster_terms(_clustered(s, d)),
@@ -476,5 +523,6 @@ QUERIES: dict[str, Query] = {
     "stance_machine_metrics": _stance_machine_metrics,
     "score_metrics_given": _score_metrics,
     "auc_from_scores": _auc_from_scores,
+    "roc_area": _roc_area,
     "classification_metrics": _classification_metrics,
 }

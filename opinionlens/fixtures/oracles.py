@@ -258,7 +258,7 @@ def _tag_query(body: str, adapter: str = "posts", **extra: str) -> str:
     return _query(body, adapter, extra={"tag_pieces": pieces, "tag_rows": TAG_ROWS, **extra})
 
 
-def _registry_query() -> str:
+def _registry_query(more: str = "") -> str:
     """Rows of each result that the runner writes."""
     texts = {
         "clean": CLEAN, "geo": GEO, "temporal": TEMPORAL, "users": USERS, "cities": CITIES, "comparison": COMPARISON,
@@ -272,10 +272,18 @@ def _registry_query() -> str:
         "geo_distribution": "geo", "temporal_evolution": "temporal", "top_hashtags": "counted",
         "distinctive_hashtags": "distinctive", "keyword_comparison": "comparison", "polarization_city": "cities",
     }
-    body = " union all ".join(f"select '{n}' as result, count(*) as \"rows\" from {t}" for n, t in names.items())
+    body = " union all ".join(f"select '{n}' as result, count(*) as \"rows\" from {t}" for n, t in names.items()) + more
     return _query(body, "posts_dirty", extra=texts)
 
 
+def _asked() -> str:
+    """Posts with what the rules and the stand-in for a model say."""
+    return f"""
+select post_id, binary_label, rule,
+       case length({_prompt('text', 'hashtags')}) % 4 when 0 then 1 when 1 then 0 end as model
+from (select *, {_rule()} as rule from stance_posts)"""
+
+
 def _label_query(decided_by_model: bool) -> str:
     if not decided_by_model:
         return _query(
@@ -284,16 +292,12 @@ def _label_query(decided_by_model: bool) -> str:
             f"as label_status from (select *, {_rule()} as rule from stance_posts)",
             "stance_posts",
         )
-    asked = f"""
-select post_id, binary_label, rule,
-       case length({_prompt('text', 'hashtags')}) % 4 when 0 then 1 when 1 then 0 end as model
-from (select *, {_rule()} as rule from stance_posts)"""
     return _query(
         "select post_id, coalesce(binary_label, rule, model) as binary_label, "
         "case when binary_label is not null then 'kept' when rule is not null then 'rule' "
         "when model is not null then 'model' else 'neutral' end as label_status from asked",
         "stance_posts",
-        extra={"asked": asked},
+        extra={"asked": _asked()},
     )
 
 
@@ -410,6 +414,7 @@ def oracles() -> dict[str, str]:
         "daily_state_volume": _clean_query("select date, state, count(*) as tweet_count from clean group by all"),
         "daily_composition": _clean_query(f"select date, {CLASS_COUNTS} from clean group by date"),
         "run_registry": _registry_query(),
+        "write_report": _registry_query(" union all select 'after a failed run', count(*) from geo"),
         "available_results": _clean_query("select unnest(['geo_distribution', 'temporal_evolution']) as result"),
         "score_metrics_given": _query(
             "select 'accuracy' as metric, round(count(*) filter (where label = prediction) / count(*), 9) as value "
@@ -536,6 +541,12 @@ def oracles() -> dict[str, str]:
         "clean_username": _query(
             f"select post_id, {_spaces(_latin(_clean_text('username')))} as username from raw_posts", "raw_posts"
         ),
+        "clean_folder": _query(
+            f"select post_id, text, hashtags, {_spaces(_latin(_clean_text('username')))} as username, "
+            f"{_latin(_clean_text('description'))} as description, Extracted_Location as city from done where trim(text) <> ''",
+            "raw_posts",
+            extra=raw_ctes,
+        ),
         "clean_posts": _query(
             f"select post_id, text, hashtags, {_spaces(_latin(_clean_text('username')))} as username, "
             f"{_latin(_clean_text('description'))} as description, Extracted_Location as city, "
@@ -565,6 +576,13 @@ def oracles() -> dict[str, str]:
         "model_label": _label_query(decided_by_model=True),
         "label_resume": _label_query(decided_by_model=True),
         "label_retry": _label_query(decided_by_model=True),
+        "label_relabel": _query(
+            "select post_id, case when post_id % 2 = 0 then coalesce(rule, model) else coalesce(binary_label, rule) end as binary_label, "
+            "case when post_id % 2 = 0 then case when rule is not null then 'rule' when model is not null then 'model' else 'neutral' end "
+            "when binary_label is not null then 'kept' when rule is not null then 'rule' else 'pending' end as label_status from asked",
+            "stance_posts",
+            extra={"asked": _asked()},
+        ),
         "still_to_label": _query(
             f"select post_id from (select *, {_rule()} as rule from stance_posts) "
             "where post_id % 3 = 0 or (binary_label is null and rule is null)",
@@ -610,6 +628,14 @@ def oracles() -> dict[str, str]:
             "+ (count(*) over (partition by score) - 1) / 2 as place from scores)",
             "scores",
         ),
+        "roc_area": _query(
+            "select 'area_under_roc' as metric, round((sum(place) filter (where label = 1) "
+            "- count(*) filter (where label = 1) * (count(*) filter (where label = 1) + 1) / 2) "
+            "/ (count(*) filter (where label = 1) * count(*) filter (where label = 0)), 9) as value "
+            "from (select label, rank() over (order by score) "
+            "+ (count(*) over (partition by score) - 1) / 2 as place from scores)",
+            "scores",
+        ),
         "classification_metrics": _query(
             "select 'accuracy' as metric, round((t0 + t1) / n, 9) as value from parts union all "
             "select 'f1', round(a0 / n * (2 * t0 / (a0 + p0)) + a1 / n * (2 * t1 / (a1 + p1)), 9) from parts union all "

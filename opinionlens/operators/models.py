@@ -11,7 +11,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinionlens import constants as K
@@ -20,7 +20,7 @@ from opinionlens.functions import values as v
 from opinionlens.functions.text import column
 from opinionlens.operators.posts import labelled
 from opinionlens.operators.words import rank_terms, tfidf_terms, word_rows
-from opinionlens.session import discard, materialize
+from opinionlens.session import discard, materialize, shared_dir
 
 
 # Files of a stored feature table, for fits that need the same rows in each of them every time.
@@ -231,6 +231,37 @@ def area_under_roc(predictions: DataFrame, score: str = "rawPrediction", num_bin
     return evaluator.evaluate(predictions)
 
 
+def roc_area(predictions: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """The exact area under the ROC curve as one row of ``metric`` and ``value``, within one plan.
+
+    The area is the share of pairs of a positive and a negative row that the score puts in
+    order; equal scores count half. Rows are counted by score, the counts are dealt out by
+    ranges and stored in order, and only the totals of the ranges are summed up in one place.
+    Rows with a null score or label do not count; without both classes the area is null.
+    """
+    side = column(label).cast("double") > 0.5
+    counted = predictions.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("score"))
+    counted = counted.agg(F.count_if(side).alias("pos"), F.count_if(~side).alias("neg"))
+    stored = _stored_in_ranges(counted, "score")
+    totals = stored.groupBy("range").agg(F.sum("pos").alias("pos_in"), F.sum("neg").alias("neg_in"))
+    below = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("range", F.coalesce(F.sum("neg_in").over(below), F.lit(0)).alias("neg_before"))
+    within = Window.partitionBy("range").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = stored.withColumn("neg_below", F.coalesce(F.sum("neg").over(within), F.lit(0))).join(totals, "range")
+    won = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg_below") + F.col("neg") / 2)
+    pairs = F.sum("pos").cast("double") * F.sum("neg")
+    return ranked.agg(F.try_divide(F.sum(won), pairs).alias("value")).select(F.lit("area_under_roc").alias("metric"), "value")
+
+
+def _stored_in_ranges(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` in ranges of ``key``, with the number of the ``range`` and the place ``at`` in it."""
+    ordered = rows.repartitionByRange(key).sortWithinPartitions(key).withColumn("__at", F.monotonically_increasing_id())
+    path = shared_dir(rows.sparkSession)
+    ordered.write.parquet(path)
+    stored = rows.sparkSession.read.schema(ordered.schema).parquet(path)
+    return stored.select("*", F.shiftright("__at", 33).alias("range"), F.col("__at").alias("at")).drop("__at")
+
+
 def _metric_columns(predictions: DataFrame, classes: Sequence[float]) -> tuple[DataFrame, list[str]]:
     counts = predictions.agg(
         F.count("*").alias("rows"),

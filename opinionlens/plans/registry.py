@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from opinionlens import constants as K
 from opinionlens.operators import models, polarization, subjects, tags, volume, words
 from opinionlens.sources.results import write_result
+from opinionlens.sources.staging import StagedResults
 
 
 @dataclass(frozen=True)
@@ -108,9 +109,11 @@ def run(
     *,
     cache: bool = False,
     file_format: str = "csv",
+    write: Callable[[DataFrame, str, str, str], str] = write_result,
 ) -> list[str]:
     """Run the chosen analyses one after the other and return the paths written.
 
+    ``write`` takes a result, ``out_dir``, its name and the format; see also :func:`run_staged`.
     ``cache`` holds the posts while more than one analysis, or one that reads them
     repeatedly, runs, and the words for the two word analyses. Use it for posts read
     from CSV; for Parquet a second scan of the few columns needed costs less than
@@ -134,8 +137,21 @@ def run(
         for name in names:
             source = tokenized if name in _BY_WORD else posts
             for result, df in ANALYSES[name](source, params, hold).items():
-                paths.append(write_result(df, out_dir, result, file_format))
+                paths.append(write(df, out_dir, result, file_format))
         return paths
     finally:
         for df in held:
             df.unpersist()
+
+
+def run_staged(
+    posts: DataFrame, out_dir: str, chosen: Iterable[int | str] | None = None, params: Params = Params(), *, cache: bool = False, file_format: str = "csv"
+) -> DataFrame:
+    """As :func:`run`, but results take their place together, once all are written.
+
+    Returns ``result`` and ``rows``, counted while they were written. A run that fails leaves
+    what an earlier one has published as it was.
+    """
+    with StagedResults(posts.sparkSession, out_dir, file_format) as staged:
+        run(posts, out_dir, chosen, params, cache=cache, file_format=file_format, write=staged.write)
+    return staged.report()
