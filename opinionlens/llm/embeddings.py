@@ -33,9 +33,10 @@ FAN = 32  # intervals below one interval of the level above
 
 
 def _usable(embedding: Column, label: Column) -> Column:
-    squares = F.aggregate(embedding, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    finite = (squares > 0) & (squares < float("inf")) & ~F.isnan(squares)
-    return label.isNotNull() & embedding.isNotNull() & F.coalesce(finite, F.lit(False))
+    """Whether a vector has a direction: components that are all finite, and not all zero."""
+    infinite = F.lit(float("inf"))
+    finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < infinite))
+    return label.isNotNull() & embedding.isNotNull() & F.coalesce(finite & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:

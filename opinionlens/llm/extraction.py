@@ -29,8 +29,11 @@ from pyspark.sql.types import StringType, StructField
 
 from opinionlens.llm.common import add_from_text
 
+# Bounds of what the labeller learns from: pages, their characters, templates and blocks of an example.
 SAMPLE_PAGES = 200
+SAMPLE_CHARACTERS = 100_000
 TEMPLATE_PAGES = 900
+EXAMPLE_BLOCKS = 120
 PATH_SIZE, WORD_SIZE, NUMBERS, HIDDEN = 256, 32, 6, 16
 PAGES_AT_ONCE = 128
 
@@ -38,6 +41,7 @@ PAGES_AT_ONCE = 128
 HIDDEN_ELEMENTS = frozenset(
     "head script style noscript template iframe object svg canvas form select textarea option".split()
 )
+MAIN_ELEMENTS = frozenset(["article", "main"])
 # What may stand in a head. Anything else, text as well, ends a head that is still open.
 HEAD_ELEMENTS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 RAW_ELEMENTS = ("script", "style", "noscript", "template", "iframe", "textarea", "title")
@@ -50,18 +54,23 @@ EMPTY_ELEMENTS = frozenset("area base br col embed hr img input link meta param
 # An opening element ends an open one of these kinds: a paragraph ends at any block.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+# Quotes open a value only behind a name and a sign of equality; elsewhere they are part of a name.
+_VALUE = r"""\s*=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>"'][^\s>]*)?"""
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?:[!?]|/(?![a-zA-Z]))[^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|=?[^\s/>=]+(?:{_VALUE})?|=)*+)(?:>|\Z)",
+    re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""(?:[\s/]+|(=?[^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>"'][^\s>]*))?)?|=)""", re.S)
+_NAMING = frozenset(["class", "id", "role"])
 _NAME_PART = re.compile(r"[a-z]+")
 
 
 def _names(attributes: str) -> list[str]:
     found = []
     for name, *values in _ATTRIBUTE.findall(attributes):
-        words = _NAME_PART.findall("".join(values).lower())
-        found += [f".{w}" for w in words]
+        if name.lower() in _NAMING:
+            found += [f".{w}" for w in _NAME_PART.findall("".join(values).lower())]
     return found
 
 
@@ -69,10 +78,11 @@ def read_blocks(html: str) -> Iterator[tuple[tuple[str, ...], str]]:
     """The leaf blocks of a page in order: words of the path above, and the text.
 
     Inline elements and line breaks do not end a block. Character references are decoded
-    and white space becomes one space. Broken markup is read as far as it goes.
+    and white space becomes one space. Broken markup is read as far as it goes. What stands
+    in a form is hidden, but not an article that a form around the page holds.
     """
-    # Open elements: name, words of the path down to them, whether they are hidden.
-    stack: list[tuple[str, tuple[str, ...], bool]] = [("", (), False)]
+    # Open elements: name, words of the path down to them, what hides them.
+    stack: list[tuple[str, tuple[str, ...], str]] = [("", (), "")]
     text: list[str] = []
     path: tuple[str, ...] = ()
 
@@ -132,7 +142,8 @@ def read_blocks(html: str) -> Iterator[tuple[tuple[str, ...], str]]:
         if name in EMPTY_ELEMENTS:
             continue
         words = (name, *_names(found[3]))
-        stack.append((name, stack[-1][1] + words, stack[-1][2] or name in HIDDEN_ELEMENTS))
+        hidden = "" if stack[-1][2] == "form" and name in MAIN_ELEMENTS else stack[-1][2]
+        stack.append((name, stack[-1][1] + words, hidden or (name if name in HIDDEN_ELEMENTS else "")))
         if name in RAW_ELEMENTS:
             end = re.compile(rf"</{name}\b", re.I).search(html, at)
             at = end.start() if end else size
@@ -366,7 +377,7 @@ def train(pages: Sequence[str], seed: int = 5, steps: int = 160, batch: int = 24
         page = list(read_blocks(_template_page(rng, texts)))
         wanted = np.array([text.startswith(MARK) for _, text in page], np.float32)
         examples.append((vectors.of([(path, text.lstrip(MARK) or "-") for path, text in page]), wanted))
-    examples = [e for e in examples if len(e[0]) <= 120]
+    examples = [e for e in examples if len(e[0]) <= EXAMPLE_BLOCKS]
     labeller = Labeller.fresh(seed)
     moment = {k: (np.zeros_like(w), np.zeros_like(w)) for k, w in labeller.weights.items()}
     for step in range(1, steps + 1):
@@ -388,11 +399,11 @@ def train(pages: Sequence[str], seed: int = 5, steps: int = 160, batch: int = 24
 
 
 def sample_pages(pages: DataFrame, html: str = "html", most: int = SAMPLE_PAGES) -> list[str]:
-    """At most ``most`` different pages, chosen by a hash of their content: a bounded sample.
+    """At most ``most`` different pages below ``SAMPLE_CHARACTERS``, chosen by a hash of their content: a bounded sample.
 
     A share of the pages is drawn first, so that what tasks send does not grow with the table.
     """
-    body = pages.select(F.col(html).alias("body")).filter("body is not null and length(body) < 100000")
+    body = pages.select(F.col(html).alias("body")).filter(F.length("body") < SAMPLE_CHARACTERS)
     share = max(1, body.count() // (4 * most))
     drawn = body.withColumn("hash", F.xxhash64("body")).filter(F.pmod("hash", F.lit(share)) == 0)
     drawn = drawn.groupBy("hash").agg(F.min("body").alias("body"))

@@ -13,6 +13,9 @@ of classes the paragraphs in its smallest document stay, all others are removed.
 Where passages are copied into lines, ends of sentences may be missing or not agree. Of
 lines that stay, words are therefore also compared exactly from anchors on, which the words
 themselves set. At the borders of a passage a few words remain.
+
+Words are what white space parts: a line in a script without spaces is one word, and only
+equal ones are copies of each other.
 """
 
 from __future__ import annotations
@@ -105,6 +108,9 @@ class Paragraphs:
         if place is None:
             place = np.arange(len(content)) - np.concatenate([np.zeros(starts[0], np.int64), np.repeat(starts, np.diff(np.append(starts, len(content))))])
         value = np.where(space, np.uint64(0), _LETTERS[_LOWER[content]] * _PLACES[place & 63])
+        # Places come round again: behind the first bytes of a word each round counts on its own.
+        far = np.flatnonzero((place >= 64) & ~space)
+        value[far] = _mix(value[far] + (place[far] >> 6).astype(np.uint64))
         self.words = _mix(np.add.reduceat(value, starts) + (ends - starts).astype(np.uint64))
 
     def only(self, chosen: np.ndarray) -> None:

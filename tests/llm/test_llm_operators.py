@@ -473,6 +473,32 @@ def test_labeller_on_unseen_layouts():
     assert right / total > 0.97
 
 
+LAYOUTS = [
+    # Written by hand, with names and nesting that no template of the training has.
+    "<div class=wrap><table><tr><td class=left-col><a href=/>Home</a> <a href=/a>About</a></td><td class=story-body>{}</td></tr></table><p class=legal>All rights reserved</p></div>",
+    "<header><h2>Site name</h2><nav><ul><li>News<li>Sport<li>Weather</ul></nav></header><main role=main><article class=entry>{}</article></main><aside><h3>Most read</h3><ol><li>One thing<li>Another thing</ol></aside><footer>Contact us</footer>",
+    "<div id=page-container><div class=navigation-bar><span>Start</span></div><div class=post-content>{}</div><div class=comments-area><h3>2 comments</h3><p>I like this very much.</p><p>Me too.</p></div></div>",
+    "<form id=aspnetForm><div class=menu-top><a>Login</a></div><article>{}</article><div class=footer-links><a>Terms</a></div></form>",
+]
+
+
+def test_labeller_on_layouts_of_others(sf_dir):
+    """Most of the text of pages in layouts that the templates do not have, and little else."""
+    import duckdb
+
+    bodies = [r[0] for r in duckdb.sql(f"select html from '{sf_dir}/pages.parquet' order by page_id limit 120").fetchall()]
+    labeller, vectors, texts = extraction.train(bodies), extraction.Vectors(), [x for b in bodies for x in _article(b).split("\n\n") if len(x) > 200][:40]
+    kept = wrong = total = 0
+    for k, layout in enumerate(LAYOUTS):
+        own = texts[k * 5 : k * 5 + 5]
+        page = list(extraction.read_blocks(layout.format("".join(f"<p>{x}</p>" for x in own))))
+        (marks,) = labeller.label([vectors.of(page)])
+        shown = [x for (_, x), main in zip(page, marks) if main]
+        kept, total = kept + sum(len(x) for x in shown if len(x) > 200), total + sum(map(len, own))
+        wrong += sum(len(x) for x in shown if len(x) <= 200)
+    assert kept > 0.8 * total and wrong < 0.1 * total
+
+
 def test_gradients_agree_with_differences():
     rng = np.random.default_rng(1)
     labeller = extraction.Labeller.fresh(1)
@@ -518,6 +544,22 @@ def test_blocks():
         ("<head><title>t</title> one &amp; two<div>three</div>", ["one & two", "three"]),
         ("<head><head><title>t</title><body>one", ["one"]),
         ("<head><title>t</title>\n&#10;</head><body>one</body>", ["one"]),
+        # Attributes by the states of the HTML tokenizer: quotes open a value only behind a name and "=".
+        ("<p class=\"a\"\">first</p><p class=\"b\">second</p><p>third</p>", ["first", "second", "third"]),
+        ("<a href=\"x\" title=\"5\" tall\">one</a><p>two", ["one", "two"]),
+        ("<p title='it's x'>one</p><p>two</p>", ["one", "two"]),
+        ("<p =\" x>one<p a=b\"c>two<p a= >three<p a = 'x > y'>four<p/a/b=c/>five", ["one", "two", "three", "four", "five"]),
+        ("one<p a=\"x>never closed", ["one"]),
+        ("one<p never closed", ["one"]),
+        # Comments end at the first of these, other odd tags at ">".
+        ("<!-->one<p>two", ["one", "two"]),
+        ("<!--->one<p>two<!-- x --!>three<!-- > y -->four", ["one", "twothreefour"]),
+        ("<p>one</>two</3 x>three<?php x ?>four<![CDATA[x]]>five<!x>six", ["onetwothreefourfivesix"]),
+        ("one<!-- never closed <p>two", ["one"]),
+        # An article in a form around the page is text, the form's own content is not.
+        ("<form><p>no</p><article><p>yes</p><select><option>o</select></article>no</form><p>end", ["yes", "end"]),
+        ("<form><div><main><p>yes<textarea>t</textarea></main></div><input>no</form>", ["yes"]),
+        ("<script><article>no</article></script><form><form><article>yes</article></form></form>", ["yes"]),
         ("<article>one <math><mi>x</mi></math> <button>two</button></article><form><button>no</button></form>", ["one x two"]),
     ],
 )
@@ -545,6 +587,57 @@ def test_empty_tables(no_docs, apply):
     assert apply(no_docs).collect() == []
 
 
+def test_embeddings_of_any_size(spark):
+    """Vectors of doubles near the ends of their range have a direction like all others."""
+    rows = [(1, [1e-170, 0.0]), (2, [1e-170, 0.0]), (3, [1e200, 1e190]), (4, [2e200, 0.0]), (5, [5e-324, 0.0]), (6, [1.7e308, 1.7e308]), (7, [1.0, 1.0])]
+    rows += [(8, [0.0, -0.0]), (9, [float("-inf"), 1.0]), (10, [float("nan"), 1.0]), (11, [None, 1.0]), (12, []), (13, None), (14, [-1.0, 0.0])]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "vec_id bigint, embedding array<double>, label int")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(df).collect()}
+    assert {i: found[i] for i in range(1, 6)} == dict.fromkeys(range(1, 6), (4, 1))
+    assert found[6] == found[7] == (1, 6)
+    assert all(found[i] == (0, i) for i in range(8, 15))
+
+
+def test_letters_that_change_places(spark):
+    """Words of one length and the same letters are not copies, wherever the letters stand."""
+    for a, b in (("A" + "x" * 63 + "B", "B" + "x" * 63 + "A"), ("A" + "x" * 127 + "B", "B" + "x" * 127 + "A"), ("q" * 70 + "AB", "q" * 70 + "BA")):
+        assert _removed_texts(spark, [(1, a), (2, b)]) == {1: [], 2: []}
+        assert _removed_texts(spark, [(1, a), (2, a)]) == {1: [], 2: [(a, 1)]}
+
+
+def test_whole_paragraphs_of_odd_tables(spark, no_docs, docs, rows):
+    """The registered form: empty tables, nulls, repeated keys and columns with clashing names."""
+    assert paragraph_dedup.remove_paragraphs(no_docs, whole=True).collect() == []
+    found = paragraph_dedup.remove_paragraphs(docs, whole=True).collect()
+    assert Counter(r["doc_id"] for r in found) == Counter(d for d, _, _ in rows)
+    texts = defaultdict(list)
+    for d, t, _ in rows:
+        texts[d].append((t or "").encode())
+    lines = {d: {x.split()[0] and b" ".join(x.split()).lower() for t in own for x in t.split(b"\n") if x.split()} for d, own in texts.items()}
+    for r in found:
+        assert r["n_removed"] == len(r["removed"])
+        ends = [(x["start"], x["end"]) for x in r["removed"]]
+        assert all(0 <= a < b <= max(map(len, texts[r["doc_id"]])) for a, b in ends) and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+        assert all(x["kept_in"] < r["doc_id"] for x in r["removed"])
+        if r["doc_id"] is None or not any(texts[r["doc_id"]]):
+            assert not ends
+    # Every line that a smaller document holds word for word is gone.
+    by_id = {r["doc_id"]: r for r in found}
+    for d, own in texts.items():
+        if d is None or len(own) > 1:
+            continue
+        gone = np.zeros(len(own[0]) + 1, bool)
+        for x in by_id[d]["removed"]:
+            gone[x["start"] : x["end"]] = True
+        at = 0
+        for line in own[0].split(b"\n"):
+            words = line.split()
+            if words and any(b" ".join(words).lower() in lines[e] for e in lines if e is not None and e < d):
+                start = at + len(line) - len(line.lstrip())
+                assert gone[start : at + len(line.rstrip())].all()
+            at += len(line) + 1
+
+
 def test_empty_embeddings(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert embeddings.near_duplicates(df).collect() == []
@@ -586,7 +679,7 @@ def test_queries_and_sql(spark, sf_dir):
     import duckdb
 
     con = duckdb.connect()
-    for name in ("documents", "pages", "embeddings"):
+    for name in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
     for name, sql in queries.ORACLES.items():
         df = queries.QUERIES[name](spark, sf_dir)
