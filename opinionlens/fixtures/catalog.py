@@ -16,7 +16,7 @@ from opinionlens.fixtures.adapters import frame
 from opinionlens.functions import text as tx
 from opinionlens.functions import tokens as tk
 from opinionlens.functions import values as v
-from opinionlens.operators import clustering, labeling, margin, models, polarization, reports, subjects, tags, volume, words
+from opinionlens.operators import clustering, labeling, margin, models, polarization, reports, subjects, tags, users, volume, words
 from opinionlens.operators import posts as post_ops
 from opinionlens.plans import folders, registry
 from opinionlens.session import materialize, shared_dir
@@ -433,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "state_volume": lambda s, d: post_ops.with_state_code(
         volume.state_volume(_clean(s, d)), STATE_CODES, drop_unknown=True
     ),
+    "state_users_exact": lambda s, d: users.united_users(materialize(users.user_bitmaps(_clean(s, d)))),
     "top_state": lambda s, d: reports.top_state(_geo(s, d)),
     "geo_rollup": lambda s, d: reports.geo_rollup(_geo(s, d)),
     "city_ranking": lambda s, d: reports.city_ranking(_geo(s, d)),

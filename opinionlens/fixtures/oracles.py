@@ -410,6 +410,7 @@ def oracles() -> dict[str, str]:
         "city_ranking_by_users": _clean_query(
             "select *, city || ', ' || state as area from geo order by unique_users desc, state, city limit 15", "geo"
         ),
+        "state_users_exact": _clean_query("select state, count(distinct user_id) as unique_users from clean group by state having count(user_id) > 0"),
         "daily_volume": _clean_query("select date, count(*) as tweet_count from clean group by date"),
         "daily_state_volume": _clean_query("select date, state, count(*) as tweet_count from clean group by all"),
         "daily_composition": _clean_query(f"select date, {CLASS_COUNTS} from clean group by date"),

@@ -242,7 +242,7 @@ def roc_area(predictions: DataFrame, score: str = "score", label: str = "label")
     side = column(label).cast("double") > 0.5
     counted = predictions.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("score"))
     counted = counted.agg(F.count_if(side).alias("pos"), F.count_if(~side).alias("neg"))
-    stored = _stored_in_ranges(counted, "score")
+    stored = stored_in_ranges(counted, "score")
     totals = stored.groupBy("range").agg(F.sum("pos").alias("pos_in"), F.sum("neg").alias("neg_in"))
     below = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("range", F.coalesce(F.sum("neg_in").over(below), F.lit(0)).alias("neg_before"))
@@ -253,9 +253,9 @@ def roc_area(predictions: DataFrame, score: str = "score", label: str = "label")
     return ranked.agg(F.try_divide(F.sum(won), pairs).alias("value")).select(F.lit("area_under_roc").alias("metric"), "value")
 
 
-def _stored_in_ranges(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` in ranges of ``key``, with the number of the ``range`` and the place ``at`` in it."""
-    ordered = rows.repartitionByRange(key).sortWithinPartitions(key).withColumn("__at", F.monotonically_increasing_id())
+def stored_in_ranges(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` stored in ranges of the keys: the number of the ``range``, and ``at``, which ascends by one within it."""
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id())
     path = shared_dir(rows.sparkSession)
     ordered.write.parquet(path)
     stored = rows.sparkSession.read.schema(ordered.schema).parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from comparing import rows_of
 from opinionlens.functions import composition
 from opinionlens.functions import text as tx
-from opinionlens.operators import models, volume
+from opinionlens.operators import models, users, volume
 from opinionlens.plans import folders, registry
 from opinionlens.sources import results
 from opinionlens.sources.staging import StagedResults
@@ -208,3 +208,25 @@ def test_texts_are_composed_when_they_are_repaired(spark):
     rows = [("Việt &amp; 한",), ("plain ệ",), (None,)]
     found = [r[0] for r in spark.createDataFrame(rows, "s string").select(tx.repair_text("s")).collect()]
     assert found == [unicodedata.normalize("NFC", "Việt & 한"), "plain ệ", None]
+
+
+# --- users that add up --------------------------------------------------------
+
+
+def test_users_of_places_add_up(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("ABC"), f"c{rng.randrange(4)}", rng.choice([None, *(f"u{k}" for k in range(40_000))])) for _ in range(60_000)]
+    posts = spark.createDataFrame(rows, "state string, city string, user_id string").repartition(5)
+    numbers = users.user_numbers(posts)
+    known = {u for _, _, u in rows if u is not None}
+    assert sorted(r["number"] for r in numbers.collect()) == list(range(len(known)))
+    bitmaps = users.user_bitmaps(posts).cache()
+    for by in (["state", "city"], ["state"], ["city"]):
+        found = {tuple(r[:-1]): r["unique_users"] for r in users.united_users(bitmaps, by).collect()}
+        sets: dict[tuple, set] = {}
+        for s, c, u in rows:
+            if u is not None:
+                sets.setdefault(tuple({"state": s, "city": c}[k] for k in by), set()).add(u)
+        assert found == {k: len(x) for k, x in sets.items()}
+    assert users.united_users(bitmaps, []).first()["unique_users"] == len(known)
+    assert users.user_bitmaps(posts.limit(0)).count() == 0
