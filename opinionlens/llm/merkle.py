@@ -28,6 +28,7 @@ from opinionlens.llm.common import others, small_batches, store
 
 RUN = 16
 BLOCK_LEVELS = 3  # a block has RUN ** BLOCK_LEVELS leaves
+ROWS_AT_ONCE = 1024  # of a block, whose proofs are written out together
 TOP = ""  # the name of the tree over all groups; those of groups are not empty
 _PLACE = ("index", "n_leaves", "group_index", "n_groups")
 
@@ -183,7 +184,20 @@ def _by_block(batches: Iterator[pa.RecordBatch], tree: int, block: int) -> Itera
         yield pa.Table.from_batches(waiting)
 
 
-def prove(leaves: DataFrame, key: str = "doc_id", group: str = "source", leaf: str = "leaf") -> DataFrame:
+def _own_proofs(numbers: Sequence[int], levels: list[tuple], upper: dict[int, bytes]) -> Iterator[bytes]:
+    """The proofs of some leaves, from their runs and the proofs of what is above these."""
+    if not levels:
+        yield from (upper[0] for _ in numbers)
+        return
+    runs = levels[0][1]
+    for i in numbers:
+        text, at = runs[i // RUN], i % RUN * 64
+        yield bytes.fromhex((text[:at] + text[at + 64 :] + upper[i // RUN]).decode())
+
+
+def prove(
+    leaves: DataFrame, key: str = "doc_id", group: str = "source", leaf: str = "leaf", presented: str | None = None, folded: str = "folded_root"
+) -> DataFrame:
     """``leaves`` with ``subroot``, ``root`` and the proof of each row.
 
     ``leaf`` holds lower-case hexadecimal digests. A group's leaves ascend by ``key``, null
@@ -192,9 +206,12 @@ def prove(leaves: DataFrame, key: str = "doc_id", group: str = "source", leaf: s
     siblings' digests in 32 bytes each, from the leaf's run to the root's, left to right;
     ``index`` of ``n_leaves`` and ``group_index`` of ``n_groups`` tell where the leaf stands.
     An empty table gives no rows. All columns are kept; those called like a new one are replaced.
+
+    With ``presented``, a column of digests, the column ``folded`` is what :func:`verify` finds
+    for them, in the same pass.
     """
     small_batches(leaves.sparkSession)
-    new = ["subroot", "root", *_PLACE, "proof"]
+    new = ["subroot", "root", *_PLACE, "proof", *([folded] if presented else [])]
     kept = others(leaves, new)
     rows = leaves.select(*kept, _name(F.col(group)).alias("__tree"), F.monotonically_increasing_id().alias("__salt"))
     numbered = _numbered(store(rows), [key, leaf, "__salt"]).drop("__salt")
@@ -251,7 +268,11 @@ def prove(leaves: DataFrame, key: str = "doc_id", group: str = "source", leaf: s
     union = union.select(*columns).repartition("__tree", "__block").sortWithinPartitions("__tree", "__block", "__i")
     places = "index bigint, n_leaves bigint, group_index bigint, n_groups bigint"
     schema = StructType([*leaves.select(*kept).schema, *StructType.fromDDL(f"subroot string, root string, {places}"), StructField("proof", BinaryType())])
-    leaf_at = kept.index(leaf)
+    if presented:
+        schema = schema.add(StructField(folded, StringType()))
+    leaf_at, presented_at = kept.index(leaf), kept.index(presented) if presented else -1
+
+    kinds = [pa.string(), pa.string(), *[pa.int64()] * 4, pa.binary(), *([pa.string()] if presented else [])]
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _by_block(batches, 0, 1):
@@ -265,15 +286,17 @@ def prove(leaves: DataFrame, key: str = "doc_id", group: str = "source", leaf: s
             known = dict(zip(numbers, (h.encode() for h in rows.column(7 + leaf_at).to_pylist())))
             levels, subroot = _derived(known, own, n)
             higher, root = _derived({group: subroot}, top, groups)
-            tails = _proofs(levels, _proofs(higher, b"")[group])
-            size = len(numbers)
-            new = [
-                pa.array([subroot.decode()] * size), pa.array([root.decode()] * size), pa.array(numbers, pa.int64()),
-                *[pa.array([x] * size, pa.int64()) for x in (n, group, groups)],
-                pa.array([bytes.fromhex(tails[i].decode()) for i in numbers], pa.binary()),
-            ]
-            for batch in pa.Table.from_arrays([*rows.columns[7:], *new], names=schema.names).to_batches(max_chunksize=1024):
-                yield batch
+            above = _proofs(higher, b"")[group]
+            upper = _proofs(levels[1:], above) if levels else {0: bytes.fromhex(above.decode())}
+            for start in range(0, len(numbers), ROWS_AT_ONCE):
+                part = rows.slice(start, ROWS_AT_ONCE)
+                at = numbers[start : start + ROWS_AT_ONCE]
+                proofs = list(_own_proofs(at, levels, upper))
+                new = [[subroot.decode()] * len(at), [root.decode()] * len(at), at, *[[x] * len(at) for x in (n, group, groups)], proofs]
+                if presented:
+                    shown = part.column(7 + presented_at).to_pylist()
+                    new.append([None if x is None else fold(x, p, ((i, n), (group, groups))) for i, x, p in zip(at, shown, proofs)])
+                yield pa.RecordBatch.from_arrays([*[c.combine_chunks() for c in part.columns[7:]], *[pa.array(x, t) for x, t in zip(new, kinds)]], names=schema.names)
 
     return union.mapInArrow(expand, schema)
 

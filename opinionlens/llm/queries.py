@@ -109,10 +109,9 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     leaf = merkle.digest_of([*kept, F.col("text")])
-    leaves = docs.select("doc_id", "source", leaf.alias("leaf"), F.when(tampered, merkle.digest_of([*kept, low])).alias("tampered"))
-    proofs = merkle.prove(leaves).withColumn("presented", F.coalesce("tampered", "leaf"))
-    folded = merkle.verify(proofs, leaf="presented")
-    return folded.select(
+    shown = F.when(tampered, merkle.digest_of([*kept, low]))
+    leaves = docs.select("doc_id", "source", leaf.alias("leaf"), shown.alias("tampered")).withColumn("tampered", F.coalesce("tampered", "leaf"))
+    return merkle.prove(leaves, presented="tampered").select(
         "doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
     )
