@@ -487,6 +487,9 @@ QUERIES: dict[str, Query] = {
     "build_prompt": _build_prompt,
     "parse_answer": _parse_answer,
     "label_posts": _label_posts,
+    "model_label_overlapped": lambda s, d: labeling.label_posts(
+        _texts(s, d, "stance_posts"), _stand_in_model(), in_flight=8, batch_size=4, per_second=500, deadline=600
+    ).select(*LABEL_COLUMNS),
     "model_label": _model_label,
     "label_resume": _label_resume,
     "label_retry": _label_retry,

@@ -575,6 +575,7 @@ def oracles() -> dict[str, str]:
         "parse_answer": _query(f"select post_id, {_answer('answer')} as label from answers", "answers"),
         "label_posts": _label_query(decided_by_model=False),
         "model_label": _label_query(decided_by_model=True),
+        "model_label_overlapped": _label_query(decided_by_model=True),
         "label_resume": _label_query(decided_by_model=True),
         "label_retry": _label_query(decided_by_model=True),
         "label_relabel": _query(

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import string
 import time
+from collections import deque
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -81,38 +84,70 @@ def model_answers(
     backoff: float = K.MODEL_BACKOFF_SECONDS,
     retryable: tuple[type[Exception], ...] = RETRYABLE,
     give_up: bool = True,
+    in_flight: int = 1,
+    per_second: float | None = None,
+    deadline: float | None = None,
 ):
     """A vectorised function from prompts to replies.
 
+    Up to ``in_flight`` calls of a task overlap, in threads, and at most ``per_second`` start
+    in a second; replies keep the order of the prompts. ``deadline`` bounds the seconds that
+    the prompts of one Arrow batch take: calls under way end, later ones count as failed.
+
     Null prompts are not asked. A batch is tried again after an error among ``retryable``
     (connection errors and time-outs are) or too few replies; other errors are raised at
     once. If it still fails after ``retries`` tries, its replies are null, which a later
     run may ask again, or with ``give_up=False`` the task fails.
     """
 
-    def ask(prompts: list[str]) -> list[str | None]:
+    def ask(prompts: list[str], turn: Callable[[], None], latest: float | None) -> list[str | None]:
         for attempt in range(1, retries + 1):
             try:
+                turn()
+                if latest is not None and time.monotonic() > latest:
+                    raise TimeoutError("the time for a batch is over")
                 replies = list(predict_batch(prompts))
                 if len(replies) != len(prompts):
                     raise ConnectionError(f"{len(replies)} replies to {len(prompts)} prompts")
                 return replies
-            except (*retryable, ConnectionError):
-                if attempt < retries:
+            except (*retryable, ConnectionError, TimeoutError):
+                if attempt < retries and (latest is None or time.monotonic() < latest):
                     time.sleep(backoff * attempt)
                 elif not give_up:
                     raise
+                else:
+                    break
         return [None] * len(prompts)
 
     @F.pandas_udf("string")
     def replies(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for prompts in batches:
-            out = pd.Series([None] * len(prompts), dtype=object)
-            asked = [i for i, prompt in enumerate(prompts) if prompt is not None]
-            for start in range(0, len(asked), batch_size):
-                places = asked[start : start + batch_size]
-                out.iloc[places] = ask([prompts.iloc[i] for i in places])
-            yield out
+        lock, free_at = Lock(), [0.0]
+
+        def turn() -> None:
+            """Wait until the task may call again."""
+            if per_second is None:
+                return
+            with lock:
+                start = max(free_at[0], time.monotonic())
+                free_at[0] = start + 1 / per_second
+            time.sleep(max(0.0, start - time.monotonic()))
+
+        with ThreadPoolExecutor(in_flight) as pool:
+            for prompts in batches:
+                out = pd.Series([None] * len(prompts), dtype=object)
+                asked = [i for i, prompt in enumerate(prompts) if prompt is not None]
+                parts = [asked[start : start + batch_size] for start in range(0, len(asked), batch_size)]
+                latest = None if deadline is None else time.monotonic() + deadline
+                calls: deque = deque()
+                for places in parts:
+                    # At most ``in_flight`` calls are under way; replies are taken in order.
+                    if len(calls) == in_flight:
+                        done, call = calls.popleft()
+                        out.iloc[done] = call.result()
+                    calls.append((places, pool.submit(ask, [prompts.iloc[i] for i in places], turn, latest)))
+                for done, call in calls:
+                    out.iloc[done] = call.result()
+                yield out
 
     return replies.asNondeterministic()
 

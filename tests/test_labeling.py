@@ -184,3 +184,59 @@ def test_stream_prepares_rows(spark, stance, tmp_path):
         spark, src, stance.schema, out, progress, prepare=lambda d: d.withColumn("text", F.lit("vote red")), relabel=True
     )
     assert rows_of(spark.read.parquet(out).select("binary_label").distinct()) == [(1,)]
+
+
+# --- calls that overlap -------------------------------------------------------
+
+
+def replies_of(spark, model, prompts, **options):
+    df = spark.createDataFrame(list(enumerate(prompts)), "i int, prompt string").coalesce(1)
+    found = df.select("i", labeling.model_answers(model, **options)("prompt").alias("reply")).collect()
+    return [r["reply"] for r in sorted(found, key=lambda r: r["i"])]
+
+
+def test_calls_overlap_and_keep_their_order(spark):
+    import time
+
+    def slow(prompts):
+        time.sleep(0.4 if prompts[0] == "p0" else 0.1)  # the first is the last to end
+        return [p.upper() for p in prompts]
+
+    prompts = [None if i % 7 == 3 else f"p{i}" for i in range(60)]
+    expected = [p and p.upper() for p in prompts]
+    took = {}
+    for in_flight in (1, 8):
+        start = time.monotonic()
+        assert replies_of(spark, slow, prompts, batch_size=2, in_flight=in_flight) == expected
+        took[in_flight] = time.monotonic() - start
+    assert took[8] < took[1] - 1
+
+
+def test_calls_are_spaced_and_end_in_time(spark):
+    import time
+
+    starts = replies_of(spark, lambda p: [str(time.monotonic())] * len(p), ["x"] * 6, batch_size=1, in_flight=6, per_second=10)
+    times = sorted(map(float, starts))
+    assert all(b - a > 0.08 for a, b in zip(times, times[1:]))
+
+    def late(prompts):
+        time.sleep(0.5)
+        return ["1"] * len(prompts)
+
+    found = replies_of(spark, late, ["x"] * 6, batch_size=1, in_flight=2, deadline=0.3)
+    assert found == ["1", "1", None, None, None, None]
+    with pytest.raises(Exception, match="time for a batch is over"):
+        replies_of(spark, late, ["x"] * 6, batch_size=1, deadline=0.3, give_up=False)
+
+
+def test_failures_among_overlapping_calls(spark):
+    def moody(prompts):
+        if prompts[0] == "bad":
+            raise ConnectionError("away")
+        return ["1"] * len(prompts)
+
+    prompts = ["a", "bad", "b", "c", "bad", "d"]
+    found = replies_of(spark, moody, prompts, batch_size=1, in_flight=4, retries=2, backoff=0.01)
+    assert found == ["1", None, "1", "1", None, "1"]
+    with pytest.raises(Exception, match="away"):
+        replies_of(spark, moody, prompts, batch_size=1, in_flight=4, retries=2, backoff=0.01, give_up=False)
