@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinionlens.fixtures.adapters import frame
+from opinionlens.functions import codepages
 from opinionlens.functions import text as tx
 from opinionlens.functions import tokens as tk
 from opinionlens.functions import values as v
@@ -99,6 +100,14 @@ def _clean_posts(spark, sf):
     return post_ops.clean_posts(_texts(spark, sf, "raw_posts"), file_name="file_name", states=FILE_KEYS)
 
 
+def _undo_misreading(spark, sf):
+    """Texts that were read in a wrong code page and repaired."""
+    damaged = F.col("text")
+    for k, page in enumerate(codepages.PAGES):
+        damaged = F.when(F.col("post_id") % len(codepages.PAGES) == k, codepages.misread("text", page)).otherwise(damaged)
+    return _posts(spark, sf).select("post_id", codepages.undo_misreading(damaged).alias("text"))
+
+
 def _parse_tags(spark, sf):
     return tags.tag_rows(frame(spark, sf, "tag_lists"), "post_id")
 
@@ -474,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "normalize_spaces": _on_text("raw_posts", tx.normalize_spaces),
     "extract_tags_raw": _on_text("raw_posts", lambda c: F.array_join(tx.extract_tags(c), ";"), target="tags"),
     "repair_text": _on_text("damaged_posts", tx.repair_text),
+    "undo_misreading": _undo_misreading,
     "clean_text": _on_text("damaged_posts", tx.clean_text),
     "clean_description": _on_text("raw_posts", tx.clean_description, "description", "description"),
     "clean_username": _on_text("raw_posts", tx.clean_username, "username", "username"),

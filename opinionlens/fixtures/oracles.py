@@ -535,6 +535,7 @@ def oracles() -> dict[str, str]:
             "raw_posts",
         ),
         "repair_text": _query(f"select post_id, {_repair('text')} as text from damaged_posts", "damaged_posts"),
+        "undo_misreading": _query("select post_id, text from posts", "posts"),
         "clean_text": _query(f"select post_id, {_clean_text('text')} as text from damaged_posts", "damaged_posts"),
         "clean_description": _query(
             f"select post_id, {_latin(_clean_text('description'))} as description from raw_posts", "raw_posts"
