@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import pickle
+import re
 import sys
 import unicodedata
 from array import array
@@ -30,6 +31,7 @@ from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
@@ -38,10 +40,14 @@ from opinionlens.llm.common import add_from_text, others
 
 # What a task remembers before it starts afresh: transitions, and words up to a length.
 MOST_TRANSITIONS = 400_000
-MOST_WORDS = 300_000
+MOST_WORDS, MOST_PARTS = 100_000, 500_000
 LONGEST_REMEMBERED = 64
 
 
+# A space that may be inside a word of white space.
+INSIDE_SPACE = re.compile(r"\s (?!\S)")
+# Signs that are words of their own behind letters.
+SIGNS = frozenset(",.;:!?")
 # Fixed value: how byte-level BPE cuts a text into words.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -191,10 +197,30 @@ class Encoder:
                     self.ends.append(-1)
                 node = self.trie[node][b]
             self.ends[node] = token
+        # Tokens in the order of their bytes: those below a node of the trie lie side by side.
+        known = sorted((t for t, state in enumerate(self.after) if state >= 0), key=vocabulary.labels.__getitem__)
+        self.in_order = automaton.number[known]
+        self.below = self._ranges()
+        self.lacking = automaton.first, automaton.starts, automaton.stops
         self._reset()
 
+    def _ranges(self) -> list[tuple[int, int]]:
+        """For each node the range of the tokens that go on behind it."""
+        below, at, stack = [(0, 0)] * len(self.trie), 0, [(0, -1)]
+        while stack:
+            node, begin = stack.pop()
+            if begin >= 0:
+                below[node] = begin, at
+                continue
+            at += self.ends[node] >= 0
+            stack.append((node, at))
+            stack += [(self.trie[node][b], -1) for b in sorted(self.trie[node], reverse=True)]
+        return below
+
     def _reset(self) -> None:
         self.rows: dict[tuple, dict] = {}
+        self.alike: dict[tuple[int, int], int] = {}
+        self.first_like: dict[tuple[int, bytes], int] = {}
         self.met = 0
 
     def goes_on(self, state: int, token: int) -> bool:
@@ -203,6 +229,18 @@ class Encoder:
         i = bisect_right(self.starts, number, low, self.first[state + 1]) - 1
         return i < low or number >= self.stops[i]
 
+    def _like(self, node: int, state: int) -> int:
+        """A state with arcs for the same tokens behind a node, one for all such states; -1 if there are none."""
+        found = self.alike.get((node, state))
+        if found is None:
+            (low, high), (first, starts, stops) = self.below[node], self.lacking
+            numbers, own = self.in_order[low:high], slice(first[state], first[state + 1])
+            i = starts[own].searchsorted(numbers, "right") - 1
+            lacks = (i >= 0) & (numbers < stops[own][i]) if len(starts[own]) else np.zeros(len(numbers), bool)
+            found = -1 if lacks.all() else self.first_like.setdefault((node, lacks.tobytes()), state)
+            self.alike[node, state] = found
+        return found
+
     def _row(self, under_way: tuple) -> dict:
         row = self.rows.get(under_way)
         if row is None:
@@ -219,7 +257,7 @@ class Encoder:
             token = self.ends[node]
             if token >= 0 and self.goes_on(state, token):
                 found.append(token)
-            if self.trie[node]:
+            if self.trie[node] and (state := self._like(node, state)) >= 0:
                 going.append((node, state))
         if len(found) != 1:
             raise ValueError("the automaton is not deterministic")
@@ -231,7 +269,7 @@ class Encoder:
         return row[byte]
 
     def encode(self, word: bytes) -> array:
-        row, last, sizes = self._row(((0, 0),)), array("I"), self.sizes
+        row, last, sizes = self._row(((0, 0),)), [] if len(word) < 10_000 else array("I"), self.sizes
         add = last.append
         for byte in word:
             row, token = row.get(byte) or self._meet(row, byte)
@@ -251,10 +289,11 @@ class Codec:
     def __init__(self, content: str, vocabulary: Vocabulary, automaton: Automaton, disputed: frozenset[str]):
         import regex
 
-        self.content, self.vocabulary, self.disputed = content, vocabulary, disputed
+        self.content, self.vocabulary, self.automaton, self.disputed = content, vocabulary, automaton, disputed
         self.find = regex.compile(WORD).findall
         self.encoder = Encoder(vocabulary, automaton)
         self.known: dict[str, bytes] = {}
+        self.behind_space: dict[str, bytes] = {}
 
     @cached_property
     def _by_library(self):
@@ -276,9 +315,33 @@ class Codec:
             self.known[word] = found
         return found
 
+    def _part(self, part: str) -> bytes:
+        """The ids of a space and what follows it: a word, one and a sign behind it, or anything else."""
+        if part.isalpha():
+            found = self.encoder.encode(b" " + part.encode()).tobytes()
+        elif part[-1:] in SIGNS and part[:-1].isalpha():
+            sign = part[-1]
+            found = (self.behind_space.get(part[:-1]) or self._part(part[:-1])) + (self.known.get(sign) or self._word(sign))
+        else:
+            known = self.known
+            found = b"".join([known.get(w) or self._word(w) for w in self.find(" " + part)])
+        if len(part) <= LONGEST_REMEMBERED:
+            if len(self.behind_space) >= MOST_PARTS:
+                self.behind_space = {}
+            self.behind_space[part] = found
+        return found
+
     def _plain(self, text: str) -> list[bytes]:
-        known, words = self.known, self.split(text)
-        return [known.get(w) or self._word(w) for w in words]
+        """The ids of a text, by words or, where that is the same, by what stands between spaces.
+
+        Words begin before every space but those with white space, or an end, on both sides.
+        """
+        known = self.known
+        if not (text.isascii() or self.disputed.isdisjoint(text)) or INSIDE_SPACE.search(text):
+            return [known.get(w) or self._word(w) for w in self.split(text)]
+        first, *parts = text.split(" ")
+        behind = self.behind_space
+        return [*[known.get(w) or self._word(w) for w in self.find(first)], *[behind.get(p) or self._part(p) for p in parts]]
 
     def encode(self, text: str) -> bytes:
         """The ids as unsigned integers of four bytes, the least first."""
@@ -290,10 +353,17 @@ class Codec:
                 parts = [x for piece in pieces for k, p in enumerate(piece) for x in ([own, p] if k else [p])]
         return b"".join(x for p in parts for x in ([p] if isinstance(p, bytes) else self._plain(p)))
 
+    def labels_of(self, ids: pa.Array) -> list[bytes]:
+        """What each id spells; nothing for nulls and ids outside the vocabulary."""
+        labels = self.vocabulary.labels
+        known = pc.fill_null(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(labels))), False)
+        if pc.all(known).as_py() is False:
+            return [labels[i] if fits else b"" for i, fits in zip(ids.to_pylist(), known.to_pylist())]
+        return list(map(labels.__getitem__, ids.to_pylist()))
+
     def decode(self, ids: Sequence[int]) -> str:
         """The labels of the ids, one after the other; bytes that are no UTF-8 are replaced."""
-        labels = self.vocabulary.labels
-        return b"".join([labels[i] for i in ids if i is not None and 0 <= i < len(labels)]).decode("utf-8", "replace")
+        return b"".join(self.labels_of(pa.array(ids, pa.int32()))).decode("utf-8", "replace")
 
 
 def read_vocabulary(path: str) -> str:
@@ -310,7 +380,14 @@ def compile_merges(content: str) -> tuple[Vocabulary, Automaton]:
 def _shipped(df: DataFrame, path: str):
     """The compiled tables, whose size the vocabulary bounds, for the tasks: what a codec is made of."""
     content = read_vocabulary(path)
-    return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps((content, *compile_merges(content), disputed_letters())))
+    return df.sparkSession.sparkContext.broadcast({"made of": cloudpickle.dumps((content, *compile_merges(content), disputed_letters()))})
+
+
+def _codec(shipped) -> Codec:
+    """The codec of a Python worker, which later tasks find with all that it has met so far."""
+    if "codec" not in shipped.value:
+        shipped.value["codec"] = Codec(*pickle.loads(shipped.value["made of"]))
+    return shipped.value["codec"]
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", digest: str | None = None) -> DataFrame:
@@ -327,7 +404,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dig
     def factory():
         import hashlib
 
-        codec = Codec(*pickle.loads(shipped.value))
+        codec = _codec(shipped)
 
         def compute(column: pa.Array) -> Sequence[pa.Array]:
             found = [codec.encode(t) if t else b"" for t in column.to_pylist()]
@@ -354,12 +431,14 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     place, names = kept.index(ids), [*kept, decoded]
 
     def run(batches):
-        codec = Codec(*pickle.loads(shipped.value))
+        codec = _codec(shipped)
         for batch in batches:
-            texts = []
             column = batch.column(place)
-            for i in range(len(batch)):
-                texts.append(codec.decode(column[i].values.to_pylist()) if column[i].is_valid else None)
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes)
+            labels = codec.labels_of(column.flatten())
+            rows = zip((ends - sizes).tolist(), ends.tolist(), column.is_valid().to_pylist())
+            texts = [b"".join(labels[i:j]).decode("utf-8", "replace") if valid else None for i, j, valid in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
 
     return df.select(*kept).mapInArrow(run, schema)
