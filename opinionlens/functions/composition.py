@@ -153,5 +153,11 @@ def compose(c: Column) -> Column:
         short = F.coalesce(F.when(F.length(part) == 2, F.try_element_at(pairs, part)), full)
         return F.when(part.rlike(f"[{active}]$"), short).otherwise(part)
 
-    parts = F.array_join(F.transform(F.regexp_extract_all(c, pattern, F.lit(0)), whole), "")
-    return F.when(needs_composition(c), parts).otherwise(c)
+    def fine(run: Column) -> Column:
+        parts = F.array_join(F.transform(F.regexp_extract_all(run, pattern, F.lit(0)), whole), "")
+        return F.when(needs_composition(run), parts).otherwise(run)
+
+    # All below U+0300 stand alone: texts are cut there first, by a class that costs little.
+    low, high = r"[\x{0}-\x{2FF}]", r"[\x{300}-\x{10FFFF}]"
+    coarse = F.lit(f"{low}?{high}+|{low}+(?={low}{high})|{low}+")
+    return F.when(needs_composition(c), F.array_join(F.transform(F.regexp_extract_all(c, coarse, F.lit(0)), fine), "")).otherwise(c)
