@@ -208,6 +208,9 @@ def fit_stance(
         regParam=reg,
         aggregationDepth=aggregation_depth,
     ).fit(idf.transform(table).select("label", "features"))
+    # A copy has no training summary. With it each task would get the whole session, which
+    # cannot be sent at all once the session has observed a metric.
+    svm = svm.copy()
     discard(table)
     model = PipelineModel([hashing, idf, svm])
     predictions = model.transform(words.filter("not in_train")).select("label", "prediction", "rawPrediction")

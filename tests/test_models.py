@@ -6,6 +6,7 @@ from pyspark.ml.classification import LinearSVC
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from opinionlens import constants as K
@@ -190,3 +191,14 @@ def test_bench_times_the_fit_of_each_run(spark):
         assert bench.run_once(query, spark, "somewhere") > 0
     assert len(made) == 3
     catalog.forget_fits()
+
+
+def test_a_classifier_is_sent_to_tasks_after_the_session_has_observed_a_metric(spark):
+    """A training summary would take the session along, which holds its observations."""
+    spark.range(5).observe(Observation(), F.count(F.lit(1)).alias("rows")).collect()
+    posts = spark.createDataFrame(
+        [(i, "vote blue" if i % 2 else "vote red", i % 2) for i in range(60)], "post_id bigint, text string, binary_label int"
+    )
+    fit = models.fit_stance(posts, ["text"], keys=["post_id"], hash_size=64, max_iter=2, partitions=2)
+    assert not fit.model.stages[-1].hasSummary
+    assert fit.predictions.count() + fit.train.count() == 60
