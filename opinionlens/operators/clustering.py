@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
@@ -29,6 +29,7 @@ from opinionlens.session import discard, materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCALE = 1 << 20
+SLICE_ITEMS = 1 << 18  # words that a task works on at once, whatever the Arrow batch holds
 SEED_ROUNDS = 5  # rounds of seeding, each of which draws twice as many posts as there are clusters
 
 
@@ -53,6 +54,17 @@ def _ranges(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.repeat(np.arange(len(column)), sizes), column.flatten()
 
 
+def _slices(batch: pa.RecordBatch, at: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts whose list column holds up to ``most`` items; a longer row is alone."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(batch):
+        before = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, before + (most or SLICE_ITEMS), "right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def sparse_vectors(words: DataFrame, terms: Terms) -> DataFrame:
     """``words`` with the arrays ``terms`` and ``weights`` in place of the column ``words``.
 
@@ -66,7 +78,7 @@ def sparse_vectors(words: DataFrame, terms: Terms) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, idf = pa.array(shipped.value[0]), np.array(shipped.value[1])
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, len(kept))):
             row, items = _ranges(batch.column(len(kept)))
             place = pc.fill_null(pc.index_in(items, names), -1).to_numpy(zero_copy_only=False)
             code, tf = np.unique(row[place >= 0].astype(np.int64) * len(idf) + place[place >= 0], return_counts=True)
@@ -83,15 +95,19 @@ def sparse_vectors(words: DataFrame, terms: Terms) -> DataFrame:
 
 def _distances(row: np.ndarray, term: np.ndarray, weight: np.ndarray, rows: int, centroids: np.ndarray) -> np.ndarray:
     """Squared distances in units of ``SCALE ** -2``, less the squared length of the vector itself."""
-    found = np.zeros((rows, len(centroids)), np.int64)
-    for c, centroid in enumerate(centroids):
-        np.add.at(found[:, c], row, weight * centroid[term])
-    return (centroids * centroids).sum(axis=1) - 2 * found
+    found = np.zeros((len(centroids), rows), np.int64)
+    begin = np.flatnonzero(np.diff(row, prepend=-1))  # items lie row by row
+    products = np.empty(len(term), np.int64)
+    for own, centroid in zip(found, centroids):
+        if len(begin):
+            np.take(centroid, term, out=products, mode="clip")
+            own[row[begin]] = np.add.reduceat(np.multiply(products, weight, out=products), begin)
+    return (centroids * centroids).sum(axis=1) - 2 * found.T
 
 
 def _batch(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     row, term = _ranges(batch.column(at))
-    return row, term.to_numpy(zero_copy_only=False), _ranges(batch.column(at + 1))[1].to_numpy(zero_copy_only=False)
+    return row, term.to_numpy(zero_copy_only=False).astype(np.intp), _ranges(batch.column(at + 1))[1].to_numpy(zero_copy_only=False)
 
 
 def assign(vectors: DataFrame, centroids: np.ndarray, keep: Sequence[str]) -> DataFrame:
@@ -100,7 +116,7 @@ def assign(vectors: DataFrame, centroids: np.ndarray, keep: Sequence[str]) -> Da
     shipped = vectors.sparkSession.sparkContext.broadcast(centroids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, len(keep))):
             nearest = _distances(*_batch(batch, len(keep)), len(batch), shipped.value).argmin(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(nearest.astype(np.int32))], names=schema.names)
 
@@ -118,11 +134,12 @@ def kmeans_step(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros_like(shipped.value)
         posts = np.zeros(len(totals), np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, 0)):
             row, term, weight = _batch(batch, 0)
             nearest = _distances(row, term, weight, len(batch), shipped.value).argmin(axis=1)
             posts += np.bincount(nearest, minlength=len(totals))
-            np.add.at(totals, (nearest[row], term), weight)
+            # Sums of one slice are far below 2 ** 53, where doubles are exact.
+            totals += np.bincount(nearest[row] * totals.shape[1] + term, weight, totals.size).astype(np.int64).reshape(totals.shape)
         cluster, term = np.nonzero(totals)
         some = np.flatnonzero(posts)
         columns = (np.concatenate([cluster, some]), np.concatenate([term, np.full(len(some), -1)]), np.concatenate([totals[cluster, term], posts[some]]))
@@ -131,8 +148,9 @@ def kmeans_step(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
     # Sums of tasks are added up as decimals, which no number of posts overflows.
     sums = vectors.select("terms", "weights").mapInArrow(run, "cluster bigint, term bigint, total bigint")
     sums = sums.groupBy("cluster", "term").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"))
-    sizes = sums.filter("term < 0").select("cluster", F.col("total").cast("bigint").alias("posts"))
-    means = sums.filter("term >= 0").join(sizes, "cluster")
+    # A join with the rows that hold the sizes would go through all posts once more.
+    size = F.max(F.when(F.col("term") < 0, F.col("total"))).over(Window.partitionBy("cluster"))
+    means = sums.withColumn("posts", size.cast("bigint")).filter("term >= 0")
     return means.select("cluster", "term", F.expr("cast(floor(total / posts) as bigint)").alias("weight"), "posts")
 
 
@@ -167,14 +185,13 @@ def seeds(vectors: DataFrame, key: str, k: int, size: int, seed: int = K.SEED, r
     ordered = [draw("first"), F.col(key)]
     drawn = dense(vectors.filter(F.size("terms") > 0).orderBy(*ordered).select("terms", "weights").limit(1).collect())
     for n in range(rounds):
-        far = _nearest(vectors, drawn, [key]).filter("distance > 0")
-        order = [-F.log(draw(str(n))) / F.col("distance"), F.col(key)]
+        far = _far(vectors.select(key, (-F.log(draw(str(n)))).alias("toll"), "terms", "weights"), drawn, 2 * k)
+        order = [F.col("toll") / F.col("distance"), F.col(key)]
         chosen = far.orderBy(*order).select("terms", "weights").limit(2 * k).collect()
         if not chosen:
             break
         drawn = np.unique(np.concatenate([drawn, dense(chosen)]), axis=0)
-    counts = dict(_nearest(vectors, drawn, []).groupBy("at").count().collect())
-    weight = np.array([counts.get(i, 0) for i in range(len(drawn))], float)
+    weight = _sizes(vectors, drawn).astype(float)
     lengths = (drawn.astype(float) ** 2).sum(axis=1)
     apart = np.maximum(lengths[:, None] + lengths - 2 * (drawn.astype(float) @ drawn.T), 0)
     gap = np.full(len(drawn), np.inf)
@@ -188,22 +205,45 @@ def seeds(vectors: DataFrame, key: str, k: int, size: int, seed: int = K.SEED, r
     return found
 
 
-def _nearest(vectors: DataFrame, centroids: np.ndarray, keep: Sequence[str]) -> DataFrame:
-    """``vectors`` with the place ``at`` and the squared ``distance`` of the nearest centroid."""
-    columns = [*keep, "terms", "weights"]
-    schema = StructType([*vectors.select(*columns).schema, StructField("at", IntegerType()), StructField("distance", LongType())])
-    shipped = vectors.sparkSession.sparkContext.broadcast(centroids)
+def _far(posts: DataFrame, centroids: np.ndarray, most: int) -> DataFrame:
+    """The key, ``toll``, vector and squared ``distance`` from the nearest centroid, for posts away from all of them.
+
+    Of each slice only posts are given that may be among the ``most`` of least toll per
+    distance, ties included; those without a toll come before all others.
+    """
+    schema = StructType([*posts.schema, StructField("distance", LongType())])
+    shipped = posts.sparkSession.sparkContext.broadcast(centroids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, term, weight = _batch(batch, len(keep))
-            found = _distances(row, term, weight, len(batch), shipped.value)
+        for batch in (part for whole in batches for part in _slices(whole, 2)):
+            row, term, weight = _batch(batch, 2)
             own = np.zeros(len(batch), np.int64)
             np.add.at(own, row, weight * weight)
-            extra = [pa.array(found.argmin(axis=1).astype(np.int32)), pa.array(found.min(axis=1) + own)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=schema.names)
+            distance = _distances(row, term, weight, len(batch), shipped.value).min(axis=1) + own
+            far = np.flatnonzero(distance > 0)
+            order = batch.column(1).to_numpy(zero_copy_only=False)[far] / distance[far]
+            order[np.isnan(order)] = -np.inf
+            if len(far) > most:
+                far = far[order <= np.partition(order, most - 1)[most - 1]]
+            yield pa.RecordBatch.from_arrays([*batch.take(pa.array(far)).columns, pa.array(distance[far])], names=schema.names)
+
+    return posts.mapInArrow(run, schema)
 
-    return vectors.select(*columns).mapInArrow(run, schema)
+
+def _sizes(vectors: DataFrame, centroids: np.ndarray) -> np.ndarray:
+    """How many posts each centroid is the nearest one of."""
+    shipped = vectors.sparkSession.sparkContext.broadcast(centroids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        posts = np.zeros(len(shipped.value), np.int64)
+        for batch in (part for whole in batches for part in _slices(whole, 0)):
+            posts += np.bincount(_distances(*_batch(batch, 0), len(batch), shipped.value).argmin(axis=1), minlength=len(posts))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(posts))), pa.array(posts)], names=["at", "posts"])
+
+    found = np.zeros(len(centroids), np.int64)
+    for r in vectors.select("terms", "weights").mapInArrow(run, "at bigint, posts bigint").groupBy("at").agg(F.sum("posts").alias("posts")).collect():
+        found[r["at"]] = r["posts"]
+    return found
 
 
 class Clusters(NamedTuple):

@@ -4,11 +4,13 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from opinionlens import session
 from opinionlens.fixtures.adapters import frame
 from opinionlens.operators import clustering, margin, models
 
@@ -160,3 +162,11 @@ def test_stance_machine(topical):
     assert math.isclose(min(fit.machine.objectives), fit.machine.objectives[-1], abs_tol=1e-9)
     with pytest.raises(ValueError):
         margin.fit_stance_machine(topical.filter("binary_label is null"), keys=["post_id"], size=16)
+
+
+def test_a_task_works_on_slices_of_a_batch():
+    """What a task holds beside a batch depends on the words of a slice, not on the batch."""
+    lists = [[1, 2], [], None, [3, 4, 5, 6, 7, 8, 9], [1], [2], [3, 4]]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], names=["terms"])
+    parts = [part.column(0).to_pylist() for part in clustering._slices(batch, 0, 3)]
+    assert parts == [[[1, 2], [], None], [[3, 4, 5, 6, 7, 8, 9]], [[1], [2]], [[3, 4]]]
