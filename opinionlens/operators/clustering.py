@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from opinionlens import constants as K
 from opinionlens.operators.models import topic_words
@@ -48,15 +48,30 @@ def vocabulary(words: DataFrame, vocab_size: int = K.VOCAB_SIZE, min_df: float =
     return Terms([t.word for t in terms], [t.idf for t in terms])
 
 
+def _lengths(column: pa.Array) -> np.ndarray:
+    """How many items each row of a list column, or of one packed as bytes of 64-bit numbers, has."""
+    if pa.types.is_list(column.type):
+        return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return pc.binary_length(column).to_numpy(zero_copy_only=False) // 8
+
+
 def _ranges(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """The row of each item of a list column, and the items."""
-    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-    return np.repeat(np.arange(len(column)), sizes), column.flatten()
+    return np.repeat(np.arange(len(column)), _lengths(column)), column.flatten()
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """The items of a list column of numbers, or of one packed as bytes, one row after the other."""
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False)
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.int64, (ends[-1] - ends[0]) // 8, ends[0]) if ends[-1] > ends[0] else np.zeros(0, np.int64)
 
 
 def _slices(batch: pa.RecordBatch, at: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
     """``batch`` in parts whose list column holds up to ``most`` items; a longer row is alone."""
-    ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    ends = np.cumsum(_lengths(batch.column(at)), dtype=np.int64)
     start = 0
     while start < len(batch):
         before = ends[start - 1] if start else 0
@@ -65,29 +80,39 @@ def _slices(batch: pa.RecordBatch, at: int, most: int | None = None) -> Iterator
         start = stop
 
 
-def sparse_vectors(words: DataFrame, terms: Terms) -> DataFrame:
+def _vectors(column: pa.Array, names: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, term and weight of the entries of the vectors of a list column of words."""
+    row, items = _ranges(column)
+    place = pc.fill_null(pc.index_in(items, names), -1).to_numpy(zero_copy_only=False)
+    code, tf = np.unique(row[place >= 0].astype(np.int64) * len(idf) + place[place >= 0], return_counts=True)
+    row, place = code // len(idf), code % len(idf)
+    weight = tf * idf[place]
+    length = np.sqrt(np.bincount(row, weight * weight, len(column)))
+    return row, place, np.rint(weight / length[row] * SCALE).astype(np.int64)
+
+
+def sparse_vectors(words: DataFrame, terms: Terms, packed: bool = False) -> DataFrame:
     """``words`` with the arrays ``terms`` and ``weights`` in place of the column ``words``.
 
     Weights are those of normalised TF-IDF vectors in multiples of ``1 / SCALE``; terms are
     places in the vocabulary, ascending. A post without a known word has empty arrays.
+    ``packed`` arrays are bytes of 64-bit numbers, which a pass reads much faster.
     """
     kept = [c for c in words.columns if c not in ("words", "terms", "weights")]
-    arrays = [StructField("terms", ArrayType(IntegerType())), StructField("weights", ArrayType(LongType()))]
+    kinds = [BinaryType(), BinaryType()] if packed else [ArrayType(IntegerType()), ArrayType(LongType())]
+    arrays = [StructField(name, kind) for name, kind in zip(("terms", "weights"), kinds)]
     schema = StructType([*words.select(*kept).schema, *arrays])
     shipped = words.sparkSession.sparkContext.broadcast((terms.words, terms.idf))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, idf = pa.array(shipped.value[0]), np.array(shipped.value[1])
         for batch in (part for whole in batches for part in _slices(whole, len(kept))):
-            row, items = _ranges(batch.column(len(kept)))
-            place = pc.fill_null(pc.index_in(items, names), -1).to_numpy(zero_copy_only=False)
-            code, tf = np.unique(row[place >= 0].astype(np.int64) * len(idf) + place[place >= 0], return_counts=True)
-            row, place = code // len(idf), code % len(idf)
-            weight = tf * idf[place]
-            length = np.sqrt(np.bincount(row, weight * weight, len(batch)))
-            scaled = np.rint(weight / length[row] * SCALE).astype(np.int64)
-            offsets = pa.array(np.searchsorted(row, np.arange(len(batch) + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (place.astype(np.int32), scaled)]
+            row, place, weight = _vectors(batch.column(len(kept)), names, idf)
+            offsets = np.searchsorted(row, np.arange(len(batch) + 1)).astype(np.int32)
+            if packed:
+                lists = [pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(offsets * np.int32(8)), pa.py_buffer(x)]) for x in (place, weight)]
+            else:
+                lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (place.astype(np.int32), weight)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *lists], names=schema.names)
 
     return words.select(*kept, "words").mapInArrow(run, schema)
@@ -106,8 +131,8 @@ def _distances(row: np.ndarray, term: np.ndarray, weight: np.ndarray, rows: int,
 
 
 def _batch(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    row, term = _ranges(batch.column(at))
-    return row, term.to_numpy(zero_copy_only=False).astype(np.intp), _ranges(batch.column(at + 1))[1].to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(batch)), _lengths(batch.column(at)))
+    return row, _numbers(batch.column(at)).astype(np.intp, copy=False), _numbers(batch.column(at + 1))
 
 
 def assign(vectors: DataFrame, centroids: np.ndarray, keep: Sequence[str]) -> DataFrame:
@@ -179,11 +204,15 @@ def seeds(vectors: DataFrame, key: str, k: int, size: int, seed: int = K.SEED, r
     def dense(rows: Sequence) -> np.ndarray:
         found = np.zeros((len(rows), size), np.int64)
         for i, r in enumerate(rows):
-            found[i, r["terms"]] = r["weights"]
+            found[i, items(r["terms"])] = items(r["weights"])
         return found
 
+    def items(x: Sequence[int] | bytes) -> Sequence[int]:
+        return np.frombuffer(x, np.int64) if isinstance(x, (bytes, bytearray)) else x
+
     ordered = [draw("first"), F.col(key)]
-    drawn = dense(vectors.filter(F.size("terms") > 0).orderBy(*ordered).select("terms", "weights").limit(1).collect())
+    length = F.octet_length if isinstance(vectors.schema["terms"].dataType, BinaryType) else F.size
+    drawn = dense(vectors.filter(length("terms") > 0).orderBy(*ordered).select("terms", "weights").limit(1).collect())
     for n in range(rounds):
         far = _far(vectors.select(key, (-F.log(draw(str(n)))).alias("toll"), "terms", "weights"), drawn, 2 * k)
         order = [F.col("toll") / F.col("distance"), F.col(key)]
@@ -267,7 +296,7 @@ def fit_clusters(
     words = topic_words(posts, dict.fromkeys([key, *keep]), stops)
     terms = vocabulary(words, vocab_size, min_df, max_df)
     size = len(terms.words)
-    table = materialize(sparse_vectors(words.select(key, "words"), terms))
+    table = materialize(sparse_vectors(words.select(key, "words"), terms, packed=True))
     centroids = seeds(table, key, k, size, seed)
     steps = 0
     while steps < max_steps:
@@ -282,5 +311,5 @@ def fit_clusters(
     discard(table)
     with_words = words.select("*", F.col("words").alias("own_words"))
     names = list(dict.fromkeys(keep))
-    clustered = assign(sparse_vectors(with_words, terms), centroids, [*names, "own_words"])
+    clustered = assign(sparse_vectors(with_words, terms, packed=True), centroids, [*names, "own_words"])
     return Clusters(terms, centroids, steps, clustered.withColumnRenamed("own_words", "words"))

@@ -170,3 +170,25 @@ def test_a_task_works_on_slices_of_a_batch():
     batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], names=["terms"])
     parts = [part.column(0).to_pylist() for part in clustering._slices(batch, 0, 3)]
     assert parts == [[[1, 2], [], None], [[3, 4, 5, 6, 7, 8, 9]], [[1], [2]], [[3, 4]]]
+
+
+def test_slices_and_packed_vectors_change_no_cluster(spark, topical, monkeypatch):
+    words = models.topic_words(topical, ["post_id"])
+    terms = clustering.vocabulary(words, min_df=1)
+    whole = clustering.sparse_vectors(words, terms)
+    size = len(terms.words)
+    first = clustering.seeds(whole, "post_id", 3, size)
+    rows = sorted(map(tuple, clustering.kmeans_step(whole, first).collect()))
+    monkeypatch.setattr(clustering, "SLICE_ITEMS", 5)
+    packed = clustering.sparse_vectors(words, terms, packed=True)
+    assert (clustering.seeds(packed, "post_id", 3, size) == first).all()
+    assert sorted(map(tuple, clustering.kmeans_step(packed, first).collect())) == rows and rows
+    assert sorted(clustering.assign(packed, first, ["post_id"]).collect()) == sorted(clustering.assign(whole, first, ["post_id"]).collect())
+
+
+def test_a_step_reads_its_posts_once(spark, topical):
+    """The sizes of the clusters do not cost a second pass over the posts."""
+    words = models.topic_words(topical, ["post_id"])
+    terms = clustering.vocabulary(words, min_df=1)
+    step = clustering.kmeans_step(clustering.sparse_vectors(words, terms), np.ones((2, len(terms.words)), np.int64))
+    assert step._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2  # the vectors, and the step
