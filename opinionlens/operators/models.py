@@ -20,7 +20,7 @@ from opinionlens.functions import values as v
 from opinionlens.functions.text import column
 from opinionlens.operators.posts import labelled
 from opinionlens.operators.words import rank_terms, tfidf_terms, word_rows
-from opinionlens.session import discard, materialize, shared_dir
+from opinionlens.session import discard, files_for, materialize, shared_dir
 
 
 # Files of a stored feature table, for fits that need the same rows in each of them every time.
@@ -87,12 +87,13 @@ def fit_topics(
     Returns the fitted stages and the posts (the ``keep`` columns and ``words``) with
     their ``cluster``. Seeds act per partition, so only a fit with a ``key`` among the
     kept columns is the same for every layout of the input; its vectors, and nothing
-    else, are stored in ``partitions`` files while it lasts. Choose as many as keep a
-    file at some hundred megabytes. Without a key files are of even size.
+    else, are stored in ``partitions`` files while it lasts, or in as many more as keep
+    a file at some hundred megabytes. Without a key files are of even size.
     """
     words = topic_words(posts, keep, stops)
     vectors = fit_vectors(words, vocab_size=vocab_size, min_df=min_df, max_df=max_df)
-    table = materialize(vectors.transform(words).select(*([key] if key else []), "features"), key, partitions)
+    files = files_for(posts, ["text", "hashtags"], partitions) if key else partitions
+    table = materialize(vectors.transform(words).select(*([key] if key else []), "features"), key, files)
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(table.select("features"))
     discard(table)
     model = PipelineModel([*vectors.stages, kmeans])
@@ -199,7 +200,8 @@ def fit_stance(
         train = train.orderBy("split_key").limit(max_rows)
     hashing = HashingTF(inputCol="words", outputCol="tf", numFeatures=hash_size)
     # Counts are stored once; weighing them again in each pass costs less than a second copy.
-    table = materialize(hashing.transform(train).select("split_key", "label", "tf"), "split_key", partitions)
+    files = files_for(labelled(posts), features, partitions)
+    table = materialize(hashing.transform(train).select("split_key", "label", "tf"), "split_key", files)
     idf = IDF(inputCol="tf", outputCol="features").fit(table)
     svm = LinearSVC(
         featuresCol="features",

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Shuffles here carry partial aggregates, so AQE may size them; nothing is fixed
 # that a cluster would have to undo.
@@ -37,6 +39,17 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/opinionlens-{uuid.uuid4().hex}"
 
 
+# Bytes of text in a file that one task writes or reads.
+FILE_BYTES = 1 << 25
+
+
+def files_for(rows: DataFrame, texts: Sequence[str], least: int = 1) -> int:
+    """Into how many files rows go, by the bytes of their ``texts``: ``least``, and more where these outgrow a task."""
+    size = F.octet_length(F.concat_ws("", *texts)).cast("bigint")
+    (total,) = rows.agg(F.sum(size)).first()
+    return max(least, -(-(total or 0) // FILE_BYTES))
+
+
 def materialize(df: DataFrame, key: str | None = None, partitions: int = 200) -> DataFrame:
     """Store ``df`` in the shared folder and read it back.
 

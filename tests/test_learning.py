@@ -192,3 +192,20 @@ def test_a_step_reads_its_posts_once(spark, topical):
     terms = clustering.vocabulary(words, min_df=1)
     step = clustering.kmeans_step(clustering.sparse_vectors(words, terms), np.ones((2, len(terms.words)), np.int64))
     assert step._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2  # the vectors, and the step
+
+
+def test_files_of_a_fit_grow_with_the_texts(spark, topical, monkeypatch):
+    """A fixed number of files would give each task a fixed share of any input."""
+    seen = []
+
+    def noted(df, key=None, partitions=200):
+        seen.append(partitions)
+        return session.materialize(df, key, partitions)
+
+    (size,) = topical.selectExpr("sum(octet_length(concat(text, hashtags)))").first()
+    monkeypatch.setattr(session, "FILE_BYTES", size // 10)
+    monkeypatch.setattr(models, "materialize", noted)
+    models.fit_topics(topical, 2, key="post_id", keep=["post_id"], min_df=1, partitions=3)
+    models.fit_stance(topical, ["text"], keys=["post_id"], hash_size=64, max_iter=2, partitions=2)
+    assert seen[0] >= 10 and seen[1] > 2
+    assert session.files_for(topical, ["text"], 40) == 40
