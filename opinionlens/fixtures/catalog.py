@@ -20,7 +20,7 @@ from opinionlens.functions import values as v
 from opinionlens.operators import clustering, labeling, margin, models, polarization, reports, subjects, tags, users, volume, words
 from opinionlens.operators import posts as post_ops
 from opinionlens.plans import folders, registry
-from opinionlens.session import materialize, shared_dir
+from opinionlens.session import files_for, materialize, shared_dir
 from opinionlens.sources import posts as post_sources
 from opinionlens.sources import results as result_sources
 from opinionlens.streaming.labels import label_new_files, latest_labels, relabel_files, store_batch
@@ -203,11 +203,12 @@ def _label_relabel(spark, sf):
     """A round without a model, then one over the even posts with it, of which a batch is replayed."""
     root = shared_dir(spark)
     posts = _texts(spark, sf, "stance_posts")
-    posts.repartition(4).write.parquet(f"{root}/posts")
+    files = files_for(posts, ["text"], 4)
+    posts.repartition(files).write.parquet(f"{root}/posts")
     for label_round, model in ((1, None), (2, _stand_in_model())):
         relabel_files(
             spark, f"{root}/posts", posts.schema, f"{root}/labelled", f"{root}/progress", model, label_round=label_round,
-            relabel=label_round > 1, prepare=lambda p, r=label_round: p.filter((F.col("post_id") % 2 == 0) | (r == 1)), max_files_per_batch=2,
+            relabel=label_round > 1, prepare=lambda p, r=label_round: p.filter((F.col("post_id") % 2 == 0) | (r == 1)), max_files_per_batch=-(-files // 2),
         )
     again = spark.read.parquet(f"{root}/labelled/label_round=2/label_batch=0")
     store_batch(again.transform(materialize), f"{root}/labelled", 2, 0)
