@@ -7,6 +7,8 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinionlens import session
+from opinionlens.fixtures import catalog
 from opinionlens import constants as K
 from opinionlens.operators import labeling
 from opinionlens.streaming.labels import label_new_files
@@ -240,3 +242,15 @@ def test_failures_among_overlapping_calls(spark):
     assert found == ["1", None, "1", "1", None, "1"]
     with pytest.raises(Exception, match="away"):
         replies_of(spark, moody, prompts, batch_size=1, in_flight=4, retries=2, backoff=0.01, give_up=False)
+
+
+def test_posts_to_relabel_lie_in_more_files_where_there_is_more_text(spark, tmp_path, monkeypatch):
+    """Four files would give one task a quarter of any input; the rounds still have two batches each."""
+    docs = spark.range(60).selectExpr("id as doc_id", "repeat('some words ', 20) as text", "'en' as lang", "'src1' as source", "220L as n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality", "0 as toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(session, "FILE_BYTES", 1000)
+    monkeypatch.setattr(catalog, "shared_dir", lambda s: f"{tmp_path}/run")
+    assert catalog.QUERIES["label_relabel"](spark, str(tmp_path)).count() == 60
+    assert len(list((tmp_path / "run" / "posts").glob("*.parquet"))) >= 12
+    assert len(list((tmp_path / "run" / "labelled" / "label_round=1").glob("label_batch=*"))) == 2
