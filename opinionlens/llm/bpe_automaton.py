@@ -353,17 +353,30 @@ class Codec:
                 parts = [x for piece in pieces for k, p in enumerate(piece) for x in ([own, p] if k else [p])]
         return b"".join(x for p in parts for x in ([p] if isinstance(p, bytes) else self._plain(p)))
 
-    def labels_of(self, ids: pa.Array) -> list[bytes]:
-        """What each id spells; nothing for nulls and ids outside the vocabulary."""
-        labels = self.vocabulary.labels
-        known = pc.fill_null(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(labels))), False)
-        if pc.all(known).as_py() is False:
-            return [labels[i] if fits else b"" for i, fits in zip(ids.to_pylist(), known.to_pylist())]
-        return list(map(labels.__getitem__, ids.to_pylist()))
+    @cached_property
+    def _labels(self) -> pa.Array:
+        """What each id spells; the last entry, nothing, is for nulls and ids outside the vocabulary."""
+        return pa.array([*self.vocabulary.labels, b""], pa.large_binary())
+
+    def decode_all(self, ids: pa.Array, ends: np.ndarray) -> list[str]:
+        """The texts of lists of ids that lie one after the other, up to each of ``ends``.
+
+        All labels are laid out side by side at once, so no id becomes an object of its own.
+        Bytes that are no UTF-8 are replaced.
+        """
+        nothing = len(self._labels) - 1
+        known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, nothing))
+        spelled = self._labels.take(pc.if_else(pc.fill_null(known, False), ids, nothing))
+        _, offsets, content = spelled.buffers()
+        # Where the bytes of an id begin, and where those of the last one end.
+        places = np.frombuffer(offsets, np.int64)[spelled.offset : spelled.offset + len(spelled) + 1] if len(spelled) else np.zeros(1, np.int64)
+        stops = places[ends].tolist()
+        content = memoryview(content) if content is not None else b""
+        return [str(content[i:j], "utf-8", "replace") for i, j in zip([int(places[0]), *stops], stops)]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The labels of the ids, one after the other; bytes that are no UTF-8 are replaced."""
-        return b"".join(self.labels_of(pa.array(ids, pa.int32()))).decode("utf-8", "replace")
+        return self.decode_all(pa.array(ids, pa.int32()), np.array([len(ids)]))[0]
 
 
 def read_vocabulary(path: str) -> str:
@@ -435,10 +448,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
         for batch in batches:
             column = batch.column(place)
             sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(sizes)
-            labels = codec.labels_of(column.flatten())
-            rows = zip((ends - sizes).tolist(), ends.tolist(), column.is_valid().to_pylist())
-            texts = [b"".join(labels[i:j]).decode("utf-8", "replace") if valid else None for i, j, valid in rows]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
+            texts = pa.array(codec.decode_all(column.flatten(), np.cumsum(sizes)), pa.string())
+            texts = pc.if_else(column.is_valid(), texts, pa.scalar(None, pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=names)
 
     return df.select(*kept).mapInArrow(run, schema)

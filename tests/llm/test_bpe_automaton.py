@@ -7,8 +7,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from tokenizers import Tokenizer
 
 from opinionlens.llm import bpe_automaton, queries
@@ -150,6 +152,35 @@ def test_decode_of_odd_ids(spark, path, library):
     assert found == {1: None, 2: "", 3: library.decode([5]), 4: library.decode([260, 300])}
 
 
+def test_decode_makes_no_object_of_an_id(codec, path, library, monkeypatch):
+    texts = ["ab cde \u00e9\u4e2d", "", "x" * 40, " the end\n\n"] * 50
+    lists = [ids_of(library, t) for t in texts]
+    lists[3] = [*lists[3], None, -1, 10**6, codec.vocabulary.bytes[0xE4]]
+    batch = pa.RecordBatch.from_arrays([pa.array([*lists, None], pa.list_(pa.int32()))], names=["ids"])
+    spelled, seen = [], []
+    monkeypatch.setattr(bpe_automaton, "_shipped", lambda df, path: None)
+    monkeypatch.setattr(bpe_automaton, "_codec", lambda shipped: codec)
+
+    class Labels(list):
+        def __getitem__(self, i):
+            seen.append(i)
+            return super().__getitem__(i)
+
+    class Frame:
+        schema, columns = StructType([StructField("ids", ArrayType(IntegerType()))]), ["ids"]
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            spelled.extend(next(run(iter([batch]))).column(1).to_pylist())
+
+    monkeypatch.setattr(codec.vocabulary, "labels", Labels(codec.vocabulary.labels))
+    bpe_automaton.decode(Frame(), path)
+    assert spelled == [*texts[:3], texts[3] + "\ufffd", *texts[4:], None]
+    assert not seen
+
+
 def test_empty(no_docs, path):
     assert bpe_automaton.decode(bpe_automaton.encode(no_docs, path), path).collect() == []
 
