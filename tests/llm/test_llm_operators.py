@@ -1,6 +1,7 @@
 """Every operator against a plain version, on awkward rows and on an empty table."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import brute
@@ -151,6 +152,45 @@ def test_crowds_of_similar_paragraphs(spark):
     assert found == {d: [] if root[i] == i else [table[root[i]][0]] for i, (d, _) in enumerate(table)}
 
 
+def test_a_crowd_gives_no_more_rows_than_members(spark, monkeypatch):
+    """Long lines that share much, but not enough: their maps are full, so every pair may be similar."""
+    rng, n = random.Random(5), 40
+    words = [f"w{i}" for i in range(600)]
+    table = []
+    for i in range(n):
+        own = list(words)
+        for at in rng.sample(range(600), 15):
+            own[at] = f"changed{i}x{at}"
+        table.append((i, " ".join(own)))
+    table.append((n, table[-1][1] + " end"))
+    links = [(i, j) for i in range(n + 1) for j in range(i) if brute.jaccard(tuple(table[i][1].split()), tuple(table[j][1].split())) >= 0.8]
+    assert links == [(n, n - 1)]
+    sizes, store = [], paragraph_dedup.store
+
+    def counted(df):
+        stored = store(df)
+        if {"a", "crowd"} & set(stored.columns):
+            sizes.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(paragraph_dedup, "store", counted)
+    df = spark.createDataFrame(table, "doc_id bigint, text string")
+    found = {r["doc_id"]: [x["kept_in"] for x in r["removed"]] for r in paragraph_dedup.remove_paragraphs(df).collect()}
+    assert found == {i: [n - 1] if i == n else [] for i in range(n + 1)}
+    assert len(sizes) >= 3 and min(sizes) > 0
+    assert max(sizes) <= paragraph_dedup.BANDS * (n + 1)
+
+
+def test_distinct_shingles():
+    """Repeats count once, also where only the lower bits of two hashes differ."""
+    rng = np.random.default_rng(4)
+    lists = [rng.integers(0, 1 << 63, k, dtype=np.uint64) for k in (1, 30, 7, 2, 50)]
+    lists[1][:4] = lists[1][4]
+    lists[2][:3] = lists[2][3] ^ np.array([0, 1, 2], np.uint64)
+    begin = np.cumsum([0, *map(len, lists)])[:-1]
+    assert paragraph_dedup._distinct(np.concatenate(lists), begin).tolist() == [len(np.unique(x)) for x in lists]
+
+
 def _removed_texts(spark, table):
     """What is removed of each document, as text."""
     df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(3)
